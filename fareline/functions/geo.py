@@ -124,7 +124,7 @@ def ring_area(points: Column) -> Column:
     crossed = F.zip_with(
         F.slice(points, 1, n - 1),
         F.slice(points, 2, n - 1),
-        lambda a, b: a[0] * b[1] - b[0] * a[1],
+        lambda a, b: F.get(a, 0) * F.get(b, 1) - F.get(b, 0) * F.get(a, 1),
     )
     return F.abs(F.aggregate(crossed, F.lit(0.0), lambda s, x: s + x)) / 2
 
@@ -137,9 +137,9 @@ def ring_centroid(points: Column) -> tuple[Column, Column]:
     def total(term):
         return F.aggregate(F.zip_with(a, b, term), F.lit(0.0), lambda s, x: s + x)
 
-    twice = total(lambda p, q: p[0] * q[1] - q[0] * p[1])
-    lon = total(lambda p, q: (p[0] + q[0]) * (p[0] * q[1] - q[0] * p[1]))
-    lat = total(lambda p, q: (p[1] + q[1]) * (p[0] * q[1] - q[0] * p[1]))
+    twice = total(lambda p, q: F.get(p, 0) * F.get(q, 1) - F.get(q, 0) * F.get(p, 1))
+    lon = total(lambda p, q: (F.get(p, 0) + F.get(q, 0)) * (F.get(p, 0) * F.get(q, 1) - F.get(q, 0) * F.get(p, 1)))
+    lat = total(lambda p, q: (F.get(p, 1) + F.get(q, 1)) * (F.get(p, 0) * F.get(q, 1) - F.get(q, 0) * F.get(p, 1)))
     return lat / (twice * 3), lon / (twice * 3)
 
 
@@ -148,8 +148,8 @@ def in_ring(lat: Column, lon: Column, points: Column) -> Column:
     n = F.size(points)
 
     def crosses(p, q):
-        spans = (p[1] > lat) != (q[1] > lat)
-        return F.when(spans, lon < (q[0] - p[0]) * (lat - p[1]) / (q[1] - p[1]) + p[0]).otherwise(F.lit(False))
+        spans = (F.get(p, 1) > lat) != (F.get(q, 1) > lat)
+        return F.when(spans, lon < (F.get(q, 0) - F.get(p, 0)) * (lat - F.get(p, 1)) / (F.get(q, 1) - F.get(p, 1)) + F.get(p, 0)).otherwise(F.lit(False))
 
     hits = F.zip_with(F.slice(points, 1, n - 1), F.slice(points, 2, n - 1), crosses)
     return F.size(F.filter(hits, lambda h: h)) % 2 == 1

@@ -18,7 +18,7 @@ def valid_points(points: Column) -> Column:
     """Only two-number points within the lat/lon range."""
     return F.filter(
         points,
-        lambda p: (F.size(p) == 2) & p[1].between(-90.0, 90.0) & p[0].between(-180.0, 180.0),
+        lambda p: (F.size(p) == 2) & F.get(p, 1).between(-90.0, 90.0) & F.get(p, 0).between(-180.0, 180.0),
     )
 
 
@@ -31,7 +31,7 @@ def parse_linestring(text: Column) -> Column:
 def to_linestring(points: Column) -> Column:
     return F.concat(
         F.lit("LINESTRING ("),
-        F.array_join(F.transform(points, lambda p: F.concat_ws(" ", p[0].cast("string"), p[1].cast("string"))), ", "),
+        F.array_join(F.transform(points, lambda p: F.concat_ws(" ", F.get(p, 0).cast("string"), F.get(p, 1).cast("string"))), ", "),
         F.lit(")"),
     )
 
@@ -43,7 +43,7 @@ def legs(points: Column, fn) -> Column:
 
 
 def path_km(points: Column) -> Column:
-    hops = legs(points, lambda a, b: geo.haversine_km(a[1], a[0], b[1], b[0]))
+    hops = legs(points, lambda a, b: geo.haversine_km(F.get(a, 1), F.get(a, 0), F.get(b, 1), F.get(b, 0)))
     return F.aggregate(hops, F.lit(0.0), lambda s, x: s + x)
 
 
@@ -52,11 +52,11 @@ def despike(points: Column, vmax: float, skip_repeats: bool = False, step_s: flo
     because the comparison point depends on earlier decisions."""
 
     def visit(kept, p):
-        last = F.element_at(kept, -1)
-        kmh = geo.haversine_km(last[1], last[0], p[1], p[0]) / (step_s / 3600)
+        last = F.try_element_at(kept, F.lit(-1))
+        kmh = geo.haversine_km(F.get(last, 1), F.get(last, 0), F.get(p, 1), F.get(p, 0)) / (step_s / 3600)
         good = kmh <= vmax
         if skip_repeats:
-            good = good & ~((last[0] == p[0]) & (last[1] == p[1]))
+            good = good & ~((F.get(last, 0) == F.get(p, 0)) & (F.get(last, 1) == F.get(p, 1)))
         return F.when(good, F.concat(kept, F.array(p))).otherwise(kept)
 
     rest = F.slice(points, 2, F.greatest(F.size(points) - 1, F.lit(0)))
@@ -65,11 +65,11 @@ def despike(points: Column, vmax: float, skip_repeats: bool = False, step_s: flo
 
 def reversals(points: Column) -> Column:
     """Number of near U-turns between consecutive legs (cosine below -0.85)."""
-    steps = legs(points, lambda a, b: F.array(b[0] - a[0], b[1] - a[1]))
+    steps = legs(points, lambda a, b: F.array(F.get(b, 0) - F.get(a, 0), F.get(b, 1) - F.get(a, 1)))
 
     def sharp(u, v):
-        dot = u[0] * v[0] + u[1] * v[1]
-        norm = F.sqrt(u[0] * u[0] + u[1] * u[1]) * F.sqrt(v[0] * v[0] + v[1] * v[1])
+        dot = F.get(u, 0) * F.get(v, 0) + F.get(u, 1) * F.get(v, 1)
+        norm = F.sqrt(F.get(u, 0) * F.get(u, 0) + F.get(u, 1) * F.get(u, 1)) * F.sqrt(F.get(v, 0) * F.get(v, 0) + F.get(v, 1) * F.get(v, 1))
         return F.when((norm > 1e-12) & (dot / norm < -0.85), 1).otherwise(0)
 
     turns = legs(steps, sharp)
@@ -97,8 +97,8 @@ def resample(points: Column, n: Column) -> Column:
         i0 = F.floor(pos).cast("int")
         i1 = F.least(i0 + 1, F.size(points) - 1)
         t = pos - i0
-        a, b = F.element_at(points, i0 + 1), F.element_at(points, i1 + 1)
-        return F.array(a[0] * (1 - t) + b[0] * t, a[1] * (1 - t) + b[1] * t)
+        a, b = F.try_element_at(points, i0 + 1), F.try_element_at(points, i1 + 1)
+        return F.array(F.get(a, 0) * (1 - t) + F.get(b, 0) * t, F.get(a, 1) * (1 - t) + F.get(b, 1) * t)
 
     return F.transform(F.sequence(F.lit(0), n - 1), at)
 
@@ -108,19 +108,19 @@ def subsample(points: Column, n_inner: int) -> Column:
     m = F.least(F.lit(n_inner + 2), F.size(points))
     return F.transform(
         F.sequence(F.lit(0), m - 1),
-        lambda k: F.element_at(points, F.floor(k * (F.size(points) - 1) / F.greatest(m - 1, F.lit(1))).cast("int") + 1),
+        lambda k: F.try_element_at(points, F.floor(k * (F.size(points) - 1) / F.greatest(m - 1, F.lit(1))).cast("int") + 1),
     )
 
 
 def replay_steps(points: Column, start: Column, lon_scale: float, lat_scale: float, lon_box: tuple, lat_box: tuple) -> Column:
     """Rebuild a path from a new start with scaled steps; a step leaving the box is mirrored."""
-    steps = legs(points, lambda a, b: F.array((b[0] - a[0]) * lon_scale, (b[1] - a[1]) * lat_scale))
+    steps = legs(points, lambda a, b: F.array((F.get(b, 0) - F.get(a, 0)) * lon_scale, (F.get(b, 1) - F.get(a, 1)) * lat_scale))
 
     def visit(path, d):
-        cur = F.element_at(path, -1)
-        lon, lat = cur[0] + d[0], cur[1] + d[1]
-        lon = F.when(lon.between(*lon_box), lon).otherwise(cur[0] - d[0])
-        lat = F.when(lat.between(*lat_box), lat).otherwise(cur[1] - d[1])
+        cur = F.try_element_at(path, F.lit(-1))
+        lon, lat = F.get(cur, 0) + F.get(d, 0), F.get(cur, 1) + F.get(d, 1)
+        lon = F.when(lon.between(*lon_box), lon).otherwise(F.get(cur, 0) - F.get(d, 0))
+        lat = F.when(lat.between(*lat_box), lat).otherwise(F.get(cur, 1) - F.get(d, 1))
         return F.concat(path, F.array(F.array(lon, lat)))
 
     return F.aggregate(steps, F.array(start), visit)

@@ -34,20 +34,21 @@ def centroid_list(zones: DataFrame) -> Column:
     ).scalar()
 
 
-def nearest_centroid(zones: DataFrame, lat: Column, lon: Column, metric: str = "degrees") -> Column:
-    """Struct (dist, zone_id, zone_name) of the closest centroid; ties go to the lower id."""
+def with_nearest_centroid(df: DataFrame, zones: DataFrame, lat: str, lon: str, metric: str = "degrees", only: Column | None = None) -> DataFrame:
+    """Add struct ``ix_near`` (dist, zone_id, zone_name) of the closest centroid; ties go to the
+    lower id. ``only`` limits the search to the rows that need it."""
+    y, x = F.col(lat), F.col(lon)
     if metric == "degrees":
         def dist(z):
-            return F.pow(lat - z["centroid_lat"], 2) + F.pow(lon - z["centroid_lon"], 2)
+            return F.pow(y - z["centroid_lat"], 2) + F.pow(x - z["centroid_lon"], 2)
     else:
         def dist(z):
-            return geo.haversine_km(lat, lon, z["centroid_lat"], z["centroid_lon"])
-    return F.array_min(
-        F.transform(
-            centroid_list(zones),
-            lambda z: F.struct(dist(z).alias("dist"), z["zone_id"].alias("zone_id"), z["zone_name"].alias("zone_name")),
-        )
+            return geo.haversine_km(y, x, z["centroid_lat"], z["centroid_lon"])
+    best = F.array_min(
+        F.transform("ix_all", lambda z: F.struct(dist(z).alias("dist"), z["zone_id"].alias("zone_id"), z["zone_name"].alias("zone_name")))
     )
+    best = best if only is None else F.when(only, best)
+    return df.withColumn("ix_all", centroid_list(zones)).withColumn("ix_near", best).drop("ix_all")
 
 
 def assign_box_zone(
@@ -83,8 +84,7 @@ def assign_box_zone(
         pick = F.array_min if mode == "first" else F.array_max
         out = joined.select(*keep, pick(hits).alias("ix_hit"))
     if fallback:
-        near = nearest_centroid(zones, y, x, fallback)
-        out = out.withColumn("ix_near", F.when(F.col("ix_hit").isNull(), near))
+        out = with_nearest_centroid(out, zones, lat, lon, fallback, F.col("ix_hit").isNull())
         return out.select(
             *keep,
             *[F.coalesce(F.col(f"ix_hit.{k}"), F.col(f"ix_near.{k}")).alias(v) for k, v in names.items()],
@@ -262,8 +262,8 @@ def zone_adjacency(lookup: DataFrame) -> DataFrame:
 def nearest_territory(cells: DataFrame, zones: DataFrame, claimed: DataFrame) -> DataFrame:
     """Zone of the nearest centroid for every cell not yet claimed."""
     free = cells.join(claimed.select("cell"), "cell", "left_anti")
-    near = nearest_centroid(zones, F.col("cell_lat"), F.col("cell_lon"))
-    return free.withColumn("n", near).select("cell", "cell_lat", "cell_lon", F.col("n.zone_id").alias("zone_id"))
+    near = with_nearest_centroid(free, zones, "cell_lat", "cell_lon")
+    return near.select("cell", "cell_lat", "cell_lon", F.col("ix_near.zone_id").alias("zone_id"))
 
 
 def box_cells(zones: DataFrame, size: float = geo.GRID_DEG) -> DataFrame:

@@ -20,12 +20,12 @@ def with_points(raw: DataFrame) -> DataFrame:
 
 def endpoints(df: DataFrame) -> DataFrame:
     """First and last point and the point count."""
-    first, last = F.element_at("points", 1), F.element_at("points", -1)
+    first, last = F.try_element_at("points", F.lit(1)), F.try_element_at("points", F.lit(-1))
     return df.select(
         *[c for c in df.columns if c != "points"],
         F.size("points").alias("num_gps_points"),
-        last[1].alias("dest_lat"), last[0].alias("dest_lon"),
-        first[1].alias("orig_lat"), first[0].alias("orig_lon"),
+        F.get(last, 1).alias("dest_lat"), F.get(last, 0).alias("dest_lon"),
+        F.get(first, 1).alias("orig_lat"), F.get(first, 0).alias("orig_lon"),
     )
 
 
@@ -44,26 +44,26 @@ def curate_trips(raw: DataFrame, zones: DataFrame, mode: str = "first") -> DataF
         F.col("TIMESTAMP").cast("long").alias("timestamp"), F.col("DAY_TYPE").alias("day_type"), "delivery",
         (is_complete(F.col("MISSING_DATA")) & has_path).alias("usable"),
         F.when(has_path, F.size("points")).alias("num_gps_points"),
-        F.when(has_path, F.element_at("points", 1)).alias("p0"),
-        F.when(has_path, F.element_at("points", -1)).alias("p1"),
+        F.when(has_path, F.try_element_at("points", F.lit(1))).alias("p0"),
+        F.when(has_path, F.try_element_at("points", F.lit(-1))).alias("p1"),
     )
     one = dedupe(narrow, "trip_id", F.col("delivery"))
     gated = (
         one.where("usable")
         .withColumn("trip_duration_sec", (F.col("num_gps_points") - 1) * K.POINT_STEP_S)
         .where(F.col("trip_duration_sec").between(*K.TRIP_DURATION_S))
-        .where(geo.inside(F.col("p0")[1], F.col("p0")[0], K.METRO_LAT, K.METRO_LON))
+        .where(geo.inside(F.get("p0", 1), F.get("p0", 0), K.METRO_LAT, K.METRO_LON))
     )
     ts = F.timestamp_seconds("timestamp")
     placed = gated.select(
         "trip_id", "taxi_id", "call_type", "origin_call", "origin_stand", "timestamp", ts.alias("event_time"),
         timeparts.year_month(ts).alias("year_month"), "day_type", "num_gps_points", "trip_duration_sec",
-        F.col("p0")[1].alias("src_orig_lat"), F.col("p0")[0].alias("src_orig_lon"),
-        F.col("p1")[1].alias("src_dest_lat"), F.col("p1")[0].alias("src_dest_lon"),
-        geo.remap(F.col("p0")[1], K.SOURCE_LAT, K.TARGET_LAT).alias("orig_lat"),
-        geo.remap(F.col("p0")[0], K.SOURCE_LON, K.TARGET_LON).alias("orig_lon"),
-        geo.remap(F.col("p1")[1], K.SOURCE_LAT, K.TARGET_LAT).alias("dest_lat"),
-        geo.remap(F.col("p1")[0], K.SOURCE_LON, K.TARGET_LON).alias("dest_lon"),
+        F.get("p0", 1).alias("src_orig_lat"), F.get("p0", 0).alias("src_orig_lon"),
+        F.get("p1", 1).alias("src_dest_lat"), F.get("p1", 0).alias("src_dest_lon"),
+        geo.remap(F.get("p0", 1), K.SOURCE_LAT, K.TARGET_LAT).alias("orig_lat"),
+        geo.remap(F.get("p0", 0), K.SOURCE_LON, K.TARGET_LON).alias("orig_lon"),
+        geo.remap(F.get("p1", 1), K.SOURCE_LAT, K.TARGET_LAT).alias("dest_lat"),
+        geo.remap(F.get("p1", 0), K.SOURCE_LON, K.TARGET_LON).alias("dest_lon"),
         F.hour(ts).alias("hour_of_day"), F.weekday(ts).alias("day_of_week"),
         timeparts.is_weekend(ts).alias("is_weekend"), timeparts.is_friday(ts).alias("is_friday"),
     )
@@ -100,10 +100,10 @@ def curate_located(trips: DataFrame, zones: DataFrame, mode: str = "first") -> D
 
 def urban_gate(df: DataFrame) -> DataFrame:
     """City-trip realism: box at both ends, point count, duration, length and mean speed."""
-    p0, p1 = F.element_at("points", 1), F.element_at("points", -1)
+    p0, p1 = F.try_element_at("points", F.lit(1)), F.try_element_at("points", F.lit(-1))
     n = F.size("points")
     return (
-        df.where(geo.inside(p0[1], p0[0], K.URBAN_LAT, K.URBAN_LON) & geo.inside(p1[1], p1[0], K.URBAN_LAT, K.URBAN_LON))
+        df.where(geo.inside(F.get(p0, 1), F.get(p0, 0), K.URBAN_LAT, K.URBAN_LON) & geo.inside(F.get(p1, 1), F.get(p1, 0), K.URBAN_LAT, K.URBAN_LON))
         .where(n.between(4, 400))
         .withColumn("duration_s", (n - 1) * K.POINT_STEP_S)
         .withColumn("distance_km", paths.path_km(F.col("points")))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("kpi_queries", "meter_queries")
+MODULES = ("kpi_queries", "meter_queries", "spatial_queries")
 
 
 def load_all() -> None:

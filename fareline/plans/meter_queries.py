@@ -102,9 +102,9 @@ def fare_per_mile(spark, sf):
 
 
 @query("describe", sql("""SELECT 'trip_distance' AS column_name, count(trip_distance) AS n, round(avg(trip_distance), 6) AS mean, round(stddev_samp(trip_distance), 6) AS std,
-      min(trip_distance) AS low, round(quantile_cont(trip_distance, 0.25), 6) AS q25, round(quantile_cont(trip_distance, 0.5), 6) AS q50, round(quantile_cont(trip_distance, 0.75), 6) AS q75, max(trip_distance) AS high FROM real
+      round(min(trip_distance), 6) AS low, round(quantile_cont(trip_distance, 0.25), 6) AS q25, round(quantile_cont(trip_distance, 0.5), 6) AS q50, round(quantile_cont(trip_distance, 0.75), 6) AS q75, round(max(trip_distance), 6) AS high FROM real
     UNION ALL SELECT 'fare_amount', count(fare_amount), round(avg(fare_amount), 6), round(stddev_samp(fare_amount), 6),
-      min(fare_amount), round(quantile_cont(fare_amount, 0.25), 6), round(quantile_cont(fare_amount, 0.5), 6), round(quantile_cont(fare_amount, 0.75), 6), max(fare_amount) FROM real
+      round(min(fare_amount), 6), round(quantile_cont(fare_amount, 0.25), 6), round(quantile_cont(fare_amount, 0.5), 6), round(quantile_cont(fare_amount, 0.75), 6), round(max(fare_amount), 6) FROM real
     UNION ALL SELECT 'duration_s', count(dur), round(avg(dur), 6), round(stddev_samp(dur), 6),
       min(dur)::DOUBLE, round(quantile_cont(dur, 0.25), 6), round(quantile_cont(dur, 0.5), 6), round(quantile_cont(dur, 0.75), 6), max(dur)::DOUBLE FROM real""", "real"))
 def describe(spark, sf):
