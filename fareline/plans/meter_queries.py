@@ -145,22 +145,22 @@ HOUR_GIVEN_DOW = {
 
 @query("hour_given_dow", sql("SELECT dow, hour, round(p, 9) AS p FROM hgd", "real", extra=HOUR_GIVEN_DOW))
 def hour_given_dow(spark, sf):
-    return rounded(synth.hour_given_dow(views.realistic(spark, sf)), 9)
+    return rounded(synth.hour_given_dow(views.realistic(spark, sf).groupBy("hour", "dow").agg(F.count("*").alias("n"))), 9)
 
 
 @query("zone_volume", sql("SELECT src_zone_id, volume FROM vol", "vol"))
 def zone_volume(spark, sf):
-    return synth.zone_volume(views.realistic(spark, sf))
+    return synth.zone_volume(synth.zone_pairs(views.realistic(spark, sf)))
 
 
 @query("volume_tiers", sql("SELECT src_zone_id, volume, tier FROM tiers", "tiers"))
 def volume_tiers(spark, sf):
-    return synth.volume_tiers(views.realistic(spark, sf)).select("src_zone_id", "volume", "tier")
+    return synth.volume_tiers(synth.zone_pairs(views.realistic(spark, sf))).select("src_zone_id", "volume", "tier")
 
 
 @query("tier_summary", sql("SELECT tier, count(*) AS n_zones, CAST(sum(volume) AS BIGINT) AS total_volume FROM tiers GROUP BY 1", "tiers"))
 def tier_summary(spark, sf):
-    return synth.tier_summary(views.realistic(spark, sf))
+    return synth.tier_summary(synth.zone_pairs(views.realistic(spark, sf)))
 
 
 OD_TIER = {
@@ -175,13 +175,13 @@ OD_TIER = {
 
 @query("od_tier_matrix", sql("SELECT o_tier, d_tier, n, round(p, 9) AS p, round(origin_p, 9) AS origin_p FROM odp", "tiers", extra=OD_TIER))
 def od_tier_matrix(spark, sf):
-    return rounded(synth.tier_od(views.realistic(spark, sf)), 9)
+    return rounded(synth.tier_od(synth.zone_pairs(views.realistic(spark, sf))), 9)
 
 
 @query("zone_bridge", sql("""SELECT src_zone_id, tier, zone_id, zone_name, round(population / sum(population) OVER (PARTITION BY src_zone_id)::DOUBLE, 9) AS weight
     FROM tiers JOIN zones ON ae_class = tier""", "tiers", "zones"))
 def zone_bridge(spark, sf):
-    return rounded(synth.zone_bridge(synth.volume_tiers(views.realistic(spark, sf)), views.zones(spark, sf)), 9)
+    return rounded(synth.zone_bridge(synth.volume_tiers(synth.zone_pairs(views.realistic(spark, sf))), views.zones(spark, sf)), 9)
 
 
 @query("cdf_table", sql("""SELECT passenger_count, round(sum(n) OVER (ORDER BY passenger_count) / sum(n) OVER ()::DOUBLE, 9) AS cum_p
