@@ -187,7 +187,10 @@ def synth_trips(rows: DataFrame, prof: DataFrame, zones: DataFrame, seed: int =
     days = spark.range(K.SYNTH_DAYS).select(F.col("id").cast("int").alias("day_idx")).withColumn("dow", F.weekday(F.date_add(first, F.col("day_idx"))))
     day_w = days.join(dow_n, "dow").select("day_idx", F.col("n").cast("double").alias("w"))
     tiers = tier_od(part_of(prof, "pairs", "PULocationID", "DOLocationID"))
-    dest_w = tiers.withColumn("w", F.when(F.sum("n").over(Window.partitionBy("o_tier")) > 0, F.col("p")).otherwise(F.col("origin_p")))
+    # an origin tier that never occurs in the source sends its trips by the overall tier shares
+    marginal = tiers.groupBy(F.col("o_tier").alias("d_tier")).agg(F.max("origin_p").alias("overall"))
+    seen = F.sum("n").over(Window.partitionBy("o_tier")) > 0
+    dest_w = tiers.join(F.broadcast(marginal), "d_tier").withColumn("w", F.when(seen, F.col("p")).otherwise(F.col("overall")))
     pool = zones.select("ae_class", F.col("zone_id").alias("dest_zone_id"), F.col("population").cast("double").alias("w"))
 
     t = rows.select(rid)

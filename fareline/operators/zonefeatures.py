@@ -7,7 +7,9 @@ from fareline import constants as K
 from fareline.functions import geo
 from fareline.operators.spatial import point_in_polygon
 
-ALL = Window.partitionBy(F.lit(0))
+def _all():
+    """One group over a zone-sized frame."""
+    return Window.partitionBy(F.lit(0))
 
 
 def zone_polygons(zones: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def zone_features(polys: DataFrame, commerce: DataFrame, transit: DataFrame) ->
 def activity_score(feats: DataFrame, weights=K.SCORE_WEIGHTS) -> DataFrame:
     """Weighted sum of min-max scaled metrics; a constant metric counts 0.5. Zone-sized input."""
     def unit(c):
-        lo, hi = F.min(c).over(ALL), F.max(c).over(ALL)
+        lo, hi = F.min(c).over(_all()), F.max(c).over(_all())
         return F.when(hi > lo, (F.col(c) - lo) / (hi - lo)).otherwise(0.5)
 
     parts = {"commerce": unit("commerce_weight_sum"), "density": unit("pop_density"),
@@ -73,7 +75,7 @@ def activity_score(feats: DataFrame, weights=K.SCORE_WEIGHTS) -> DataFrame:
 
 def rank_buckets(scored: DataFrame, counts=(2, 4, 5, 4, 1), labels=K.CLASSES) -> DataFrame:
     """Fixed-size classes from the top score down; what is left over joins the last class."""
-    rn = F.row_number().over(ALL.orderBy(F.desc("ae_score"), "zone_id"))
+    rn = F.row_number().over(_all().orderBy(F.desc("ae_score"), "zone_id"))
     out, edge = F.lit(labels[-1]), 0
     bounds = []
     for n in counts:
@@ -93,7 +95,7 @@ def zone_weights(zones: DataFrame, visits: DataFrame) -> DataFrame:
     w = zones.join(visits, "zone_id", "left").select(
         "zone_id", (prior * bonus).alias("prior_w"),
         ((F.coalesce("n", F.lit(0)) + K.CLAIM_SMOOTHING) * bonus).alias("visit_w"), F.pow(area, 0.25).alias("area_w"))
-    return w.select("zone_id", *[(F.col(c) / F.sum(c).over(ALL)).alias(c) for c in ("prior_w", "visit_w", "area_w")])
+    return w.select("zone_id", *[(F.col(c) / F.sum(c).over(_all())).alias(c) for c in ("prior_w", "visit_w", "area_w")])
 
 
 def zone_edges(zones: DataFrame, symmetric: bool = False) -> DataFrame:
@@ -111,8 +113,8 @@ def cell_density(points: DataFrame, grid: DataFrame) -> DataFrame:
     per = points.groupBy("cell").agg(F.count("*").alias("visits"), F.count_distinct("trip_id").alias("trips"))
     full = grid.select("cell").join(per, "cell", "left").fillna(0, ["visits", "trips"])
     mult = full.groupBy("visits").agg(F.count("*").alias("m"))
-    before = F.coalesce(F.sum("m").over(ALL.orderBy("visits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rank = mult.withColumn("density_rank", (before + (F.col("m") + 1) / 2) / F.sum("m").over(ALL)).select("visits", "density_rank")
+    before = F.coalesce(F.sum("m").over(_all().orderBy("visits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rank = mult.withColumn("density_rank", (before + (F.col("m") + 1) / 2) / F.sum("m").over(_all())).select("visits", "density_rank")
     return full.join(F.broadcast(rank), "visits").select(
         "cell", "visits", "trips", (F.col("visits") * K.POINT_STEP_S).alias("dwell_s"), "density_rank")
 

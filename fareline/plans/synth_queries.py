@@ -37,7 +37,7 @@ REST = {
     "dayw": "SELECT d AS day_idx, n FROM (SELECT unnest(range(0, 90)) AS d) JOIN (SELECT dow, count(*) AS n FROM real GROUP BY 1) ON dow = isodow(DATE '2024-03-01' + CAST(d AS INT)) - 1",
     "ow": "SELECT zone_id, population * CASE ae_class WHEN 'A' THEN 1.8e0 WHEN 'B' THEN 1.3e0 WHEN 'C' THEN 1e0 WHEN 'D' THEN 0.7e0 ELSE 0.5e0 END AS w FROM zones",
     "ow2": "SELECT zone_id, w / sum(w) OVER () AS w FROM ow",
-    "dw0": "SELECT o_tier, d_tier, CASE WHEN sum(n) OVER (PARTITION BY o_tier) > 0 THEN p ELSE origin_p END AS w FROM odp",
+    "dw0": "SELECT a.o_tier, a.d_tier, CASE WHEN sum(a.n) OVER (PARTITION BY a.o_tier) > 0 THEN a.p ELSE m.origin_p END AS w FROM odp a JOIN (SELECT DISTINCT o_tier, origin_p FROM odp) m ON m.o_tier = a.d_tier",
     "alt0": "SELECT a.zone_id AS nz, b.zone_id AS az, b.population AS w FROM zones a JOIN zones b USING (ae_class) WHERE a.zone_id <> b.zone_id",
     "dist0": "SELECT round(greatest(1.5e0, least(18e0, trip_distance * 1.609e0)), 3) AS d, count(*) AS w FROM real GROUP BY 1",
     "pax0": "SELECT passenger_count AS p, count(*) AS w FROM real GROUP BY 1",
@@ -89,10 +89,10 @@ def synth_hourly(spark, sf):
     return rounded(synth.hourly_demand(generated(spark, sf)))
 
 
-@query("synth_od", sql("""SELECT origin_zone_id, origin_zone_name, origin_class, dest_zone_id, dest_zone_name, dest_class, fleet_type, count(*) AS trip_count, round(avg(distance_km), 6) AS avg_distance_km, round(avg(fare_mad), 6) AS avg_fare_mad
+@query("synth_od", sql("""SELECT origin_zone_id, origin_zone_name, origin_class, dest_zone_id, dest_zone_name, dest_class, fleet_type, count(*) AS trip_count, round(avg(distance_km), 8) AS avg_distance_km, round(avg(fare_mad), 8) AS avg_fare_mad
     FROM st GROUP BY 1, 2, 3, 4, 5, 6, 7""", *ST, extra=REST))
 def synth_od(spark, sf):
-    return rounded(synth.od_matrix(generated(spark, sf)))
+    return rounded(synth.od_matrix(generated(spark, sf)), 8)
 
 
 MED = "(SELECT median(fare_mad) FROM st WHERE fleet_type = '{}')"
