@@ -2,7 +2,10 @@
 
 from importlib import import_module
 
-MODULES = ("kpi_queries", "meter_queries", "spatial_queries")
+MODULES = (
+    "kpi_queries", "meter_queries", "spatial_queries", "route_queries", "live_queries",
+    "forecast_queries", "synth_queries", "source_queries", "stream_queries",
+)
 
 
 def load_all() -> None:
