@@ -211,10 +211,11 @@ def zone_area(spark, sf):
     return a.withColumns({"area_km2": F.round("area_km2", 6), "pop_density": F.round("pop_density", 4)})
 
 
-@query("zone_commerce", sql("""SELECT zone_id, commerce_count_sum, round(commerce_weight_sum, 4) AS commerce_weight_sum, round(opportunity_mean, 4) AS opportunity_mean,
+@query("zone_commerce", sql("""SELECT zone_id, commerce_count_sum, round(commerce_weight_sum, 4) AS commerce_weight_sum, round(opportunity_mean, 8) AS opportunity_mean,
     cell_count, poi_diversity FROM csum JOIN cdiv USING (zone_id)""", *ZT, extra=ZF))
 def zone_commerce(spark, sf):
-    return rounded(zf.zone_commerce(views.table(spark, sf, "commerce"), polygons(spark, sf)), 4)
+    c = zf.zone_commerce(views.table(spark, sf, "commerce"), polygons(spark, sf))
+    return c.withColumns({"commerce_weight_sum": F.round("commerce_weight_sum", 4), "opportunity_mean": F.round("opportunity_mean", 8)})
 
 
 @query("zone_transit", sql("SELECT zone_id, transit_hub_count FROM thit", *ZT, extra=ZF))
@@ -223,9 +224,10 @@ def zone_transit(spark, sf):
 
 
 @query("zone_features", sql("""SELECT zone_id, zone_name, population, round(area_km2, 4) AS area_km2, round(pop_density, 4) AS pop_density, commerce_count_sum,
-    round(commerce_weight_sum, 4) AS commerce_weight_sum, round(opportunity_mean, 4) AS opportunity_mean, cell_count, poi_diversity, transit_hub_count FROM zfeat""", *ZT, extra=ZF))
+    round(commerce_weight_sum, 4) AS commerce_weight_sum, round(opportunity_mean, 8) AS opportunity_mean, cell_count, poi_diversity, transit_hub_count FROM zfeat""", *ZT, extra=ZF))
 def zone_features(spark, sf):
-    return rounded(_features(spark, sf), 4)
+    f = _features(spark, sf)
+    return f.withColumns({c: F.round(c, 8 if c == "opportunity_mean" else 4) for c in ("area_km2", "pop_density", "commerce_weight_sum", "opportunity_mean")})
 
 
 @query("ae_score", sql("SELECT zone_id, zone_name, round(commerce_n, 6) AS commerce_n, round(density_n, 6) AS density_n, round(diversity_n, 6) AS diversity_n, round(transit_n, 6) AS transit_n, ae_score FROM scores", *ZT, extra=ZF))
