@@ -2,9 +2,9 @@
 
 A vehicle is available in a zone from a ping until its next ping in that zone or 60 s later. A
 request asks for the best vehicle available at one instant. Pairing every request with every vehicle
-of its zone would be quadratic in a busy zone, so both sides meet on a dyadic time grid instead:
+of its zone would be quadratic in a busy zone, so both sides meet on an aligned time grid instead:
 
-* an availability interval is cut into at most ``2 * levels`` aligned blocks of power-of-two length;
+* an availability interval is tiled by a few aligned blocks per level, each level four times coarser;
 * blocks are aggregated per (zone, level, block) to their best vehicle and their vehicle count, with
   map-side combine, so a busy zone collapses before the shuffle;
 * a request looks up the one block per level that holds its instant and takes the best of them.
@@ -21,7 +21,8 @@ from fareline import constants as K
 from fareline.functions import geo, pricing
 from fareline.operators.common import enrich
 
-LEVELS = 17  # 2**16 ms covers the 60 s lifetime
+RADIX = 4
+LEVELS = 8  # 4**8 ms covers the 60 s lifetime
 
 
 def available(pings: DataFrame) -> DataFrame:
@@ -60,23 +61,30 @@ def intervals(pings: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
         "zone_id", "taxi_id", "t0", "t1", pricing.is_idle(F.col("speed_kmh")).alias("idle"))
 
 
-def dyadic_blocks(t0: Column, t1: Column) -> Column:
-    """Aligned power-of-two blocks (level, block) that tile [t0, t1). At each level an odd left
-    bound gives the block to its right and an odd right bound the block to its left."""
+def aligned_blocks(t0: Column, t1: Column) -> Column:
+    """Aligned blocks (level, block) that tile [t0, t1). Each level takes the blocks left and right of
+    the part that the next coarser level can tile, as in a segment tree of fan-out ``RADIX``."""
     parts = []
     for level in range(LEVELS):
-        size = float(1 << level)
+        size = float(RADIX**level)
         lo, hi = F.ceil(t0 / size).cast("long"), F.floor(t1 / size).cast("long")
-        for bound, block in ((lo, lo), (hi, hi - 1)):
-            parts.append(F.when((lo < hi) & (bound % 2 == 1), F.struct(F.lit(level).alias("level"), block.alias("block"))))
-    return F.filter(F.array(*parts), lambda b: b.isNotNull())
+        left_end = F.least(F.ceil(lo / float(RADIX)).cast("long") * RADIX, hi)
+        right_start = F.greatest(F.floor(hi / float(RADIX)).cast("long") * RADIX, left_end)
+        for start, end in ((lo, left_end), (right_start, hi)):
+            cells = F.when((lo < hi) & (start < end), F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+            parts.append(_at_level(cells, level))
+    return F.concat(*parts)
+
+
+def _at_level(cells: Column, level: int) -> Column:
+    return F.transform(cells, lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
 
 
 def block_pool(live: DataFrame) -> DataFrame:
     """Best vehicle and vehicle count per (zone, level, block). ``t0`` of the chosen availability
     rides along so that a match can name the ping it uses."""
     return (
-        live.select("zone_id", "taxi_id", "idle", "t0", F.explode(dyadic_blocks(F.col("t0"), F.col("t1"))).alias("b"))
+        live.select("zone_id", "taxi_id", "idle", "t0", F.explode(aligned_blocks(F.col("t0"), F.col("t1"))).alias("b"))
         .groupBy("zone_id", F.col("b.level").alias("level"), F.col("b.block").alias("block"))
         .agg(F.min(F.struct("idle", "taxi_id", "t0")).alias("best"), F.count("*").alias("vehicles"))
     )
@@ -87,7 +95,7 @@ def best_in_zone(asked: DataFrame, pool: DataFrame) -> DataFrame:
     t = millis("event_time")
     ancestors = F.transform(
         F.sequence(F.lit(0), F.lit(LEVELS - 1)),
-        lambda l: F.struct(l.alias("level"), F.floor(t / F.pow(F.lit(2.0), l)).cast("long").alias("block")),
+        lambda l: F.struct(l.alias("level"), F.floor(t / F.pow(F.lit(float(RADIX)), l)).cast("long").alias("block")),
     )
     keys = ["trip_id", "zone_id"]
     look = asked.select(*keys, F.explode(ancestors).alias("a")).select(*keys, "a.level", "a.block")

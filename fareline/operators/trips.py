@@ -15,7 +15,9 @@ def is_complete(flag):
 
 
 def with_points(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("points", paths.parse_polyline(F.col("POLYLINE")))
+    """Add the parsed points. The one-element explode keeps later filters on the points from being
+    pushed below the parse, where the JSON would be read once more per reference."""
+    return raw.select("*", F.explode(F.array(paths.parse_polyline(F.col("POLYLINE")))).alias("points"))
 
 
 def endpoints(df: DataFrame) -> DataFrame:

@@ -71,3 +71,10 @@ def small_side(df: DataFrame, expand: int = 1, limit: int = BROADCAST_LIMIT_BYTE
 
     The optimizer does not count the rows an ``explode`` adds: pass that factor as ``expand``."""
     return F.broadcast(df) if estimated_bytes(df) * expand <= limit else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition a narrow input over the session's cores if it comes in fewer partitions (one
+    small file is one task). Large inputs already have more partitions and pass unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
