@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions import geo
-from fareline.session import small_side
+from fareline.session import small_side, spread
 
 INDEX_DEG = 0.02
 
@@ -201,7 +201,7 @@ def snap_nearest(df: DataFrame, nodes: DataFrame, lat: str, lon: str, limit_deg:
     never meet their coarse candidate lists.
     """
     y, x = F.col(lat), F.col(lon)
-    out = df.withColumn("sn", F.lit(None).cast("struct<d:double,node_id:bigint,node_lat:double,node_lon:double>"))
+    out = spread(df, lat).withColumn("sn", F.lit(None).cast("struct<d:double,node_id:bigint,node_lat:double,node_lon:double>"))
     for step in reversed(range(levels)):
         size = limit_deg / (4**step)
         key = F.when(F.col("sn").isNull(), geo.grid_cell(y, x, size))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fareline import constants as K
 from fareline.functions import draws, geo, pricing
 from fareline.operators.common import fill_spine
-from fareline.session import small_side
+from fareline.session import small_side, spread
 
 BUCKETS = 128
 
@@ -193,7 +193,7 @@ def synth_trips(rows: DataFrame, prof: DataFrame, zones: DataFrame, seed: int =
     dest_w = tiers.join(F.broadcast(marginal), "d_tier").withColumn("w", F.when(seen, F.col("p")).otherwise(F.col("overall")))
     pool = zones.select("ae_class", F.col("zone_id").alias("dest_zone_id"), F.col("population").cast("double").alias("w"))
 
-    t = rows.select(rid)
+    t = spread(rows.select(rid), key)
     t = sample_categorical(t, cdf_table(day_w, "day_idx", "w"), "day_idx", u("day"), "day_idx")
     t = t.withColumn("dow", F.weekday(F.date_add(first, F.col("day_idx"))))
     t = sample_categorical(t, cdf_table(hour_given_dow(hour_dow), "hour", "p", ["dow"]), "hour", u("hour"), "hour", {"dow": "dow"})
@@ -231,9 +231,13 @@ def synth_trips(rows: DataFrame, prof: DataFrame, zones: DataFrame, seed: int =
     )
 
 
-def chronological(trips: DataFrame, files: int) -> DataFrame:
-    """Range-partition by time and sort inside: files replay in order without a single-task sort."""
-    return trips.repartitionByRange(files, "request_time", "trip_id").sortWithinPartitions("request_time", "trip_id")
+def write_chronological(trips: DataFrame, path: str) -> None:
+    """One folder per date; rows are shuffled by (date, ten-minute block) and sorted inside a file, so
+    a folder's files hold disjoint sorted blocks that a replay merges by their first row. Nothing is
+    sampled: a range partitioning would run the whole generator once more to find its bounds."""
+    ts = F.col("request_time")
+    keyed = trips.withColumns({"date": F.date_format(ts, "yyyy-MM-dd"), "block": F.floor(F.unix_timestamp(ts) / 600)})
+    keyed.repartition("date", "block").sortWithinPartitions("date", "block", "request_time", "trip_id").drop("block").write.partitionBy("date").parquet(path)
 
 
 def hourly_demand(trips: DataFrame) -> DataFrame:
@@ -287,7 +291,7 @@ def synth_requests(rows: DataFrame, zones: DataFrame, seed: int = 42, riders: in
     rid = F.col(key)
     u = lambda s: draws.uniform(rid, s, seed)
     even = zones.select("zone_id", F.lit(1.0).alias("w"))
-    t = sample_categorical(rows, cdf_table(even, "zone_id", "w"), "zone_id", u("origin"), "origin_zone")
+    t = sample_categorical(spread(rows, key), cdf_table(even, "zone_id", "w"), "zone_id", u("origin"), "origin_zone")
     others = other_zones(zones, within_class=False).withColumn("w", F.lit(1.0))
     t = sample_categorical(t, cdf_table(others, "alt_zone", "w", ["not_zone"]), "alt_zone", u("dest"), "destination_zone", {"not_zone": "origin_zone"})
     t = sample_categorical(t, cdf_table(_table(spark, K.STREAM_CALLS), "value", "w"), "value", u("call"), "call_type")
@@ -362,7 +366,7 @@ def od_anchor_sample(df: DataFrame, zones: DataFrame, seed: int = 42) -> DataFra
 def start_sample(rows: DataFrame, zones: DataFrame, weights: DataFrame, outline: Column, center: tuple[float, float], tries: int = 10, sigma: float = 0.003, seed: int = 42) -> DataFrame:
     """Start point near a weighted zone centre: first try inside the outline, else the city centre.
     All tries of a row sit in one partition, so the choice is made before the shuffle."""
-    t = rows.select("trip_id", F.explode(F.sequence(F.lit(1), F.lit(tries))).alias("attempt"))
+    t = spread(rows.select("trip_id"), "trip_id").select("trip_id", F.explode(F.sequence(F.lit(1), F.lit(tries))).alias("attempt"))
     rid = F.concat_ws(":", "trip_id", F.col("attempt").cast("string"))
     t = sample_categorical(t, cdf_table(weights, "zone_id", "w"), "zone_id", draws.uniform(rid, "zone", seed), "zone_id")
     t = t.join(small_side(zones.select("zone_id", "centroid_lat", "centroid_lon")), "zone_id")

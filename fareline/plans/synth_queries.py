@@ -12,7 +12,7 @@ from fareline.plans.meter_queries import HOUR_GIVEN_DOW, OD_TIER
 from fareline.plans.registry import query, rounded
 from fareline.plans.route_queries import ROUTES, S, T, _routes, classed
 from fareline.plans.spatial_queries import _aff
-from fareline.session import cut_lineage
+from fareline.session import cut_lineage, scratch
 from fareline.sources.tables import grid_sql
 
 
@@ -80,7 +80,15 @@ def generated(spark, sf):
 
 @query("synth_trips", sql("SELECT * FROM st", *ST, extra=REST))
 def synth_trips(spark, sf):
-    return synth.chronological(generated(spark, sf), spark.sparkContext.defaultParallelism)
+    return generated(spark, sf)
+
+
+@query("synth_replay_files", sql("SELECT date_trunc('hour', request_time) AS hour_start, count(*) AS n FROM st GROUP BY 1", *ST, extra=REST))
+def synth_replay_files(spark, sf):
+    path = scratch(spark, "replay")
+    synth.write_chronological(generated(spark, sf).select("trip_id", "request_time", "origin_zone_id"), path)
+    back = spark.read.parquet(path)
+    return back.groupBy(F.date_trunc("hour", "request_time").alias("hour_start")).agg(F.count("*").alias("n"))
 
 
 @query("synth_hourly", sql("""SELECT origin_zone_id AS zone_id, origin_zone_name AS zone_name, origin_class AS ae_class, CAST(request_time AS DATE) AS date, hour, count(*) AS trip_count, round(avg(distance_km), 6) AS avg_distance_km,
