@@ -128,42 +128,40 @@ def percentiles(df: DataFrame, value: str, points: list[float], by: list[str] |
     The built-in exact percentile keeps every distinct value of a group in one task. Here a sketch
     gives a narrow value band around each wanted rank, one pass counts rows per band, and only the
     bands that hold a wanted rank are expanded to value counts (equal values are one counted row).
-    The counts are exact, so a sketch that is off costs time, never the result.
+    The counts are exact, so a sketch that is off costs time, never the result. Band borders and the
+    list of wanted bands are materialised: they are a few rows per group, and the written size is
+    what decides whether they are broadcast.
     """
+    from fareline.session import cut_lineage, small_side
+
     by = by or []
-    key = by or ["_one"]
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
-    if not by:
-        rows = rows.withColumn("_one", F.lit(1))
     grid = sorted({x for p in points for x in (max(0.0, p - band), min(1.0, p + band))})
-    borders = rows.groupBy(*key).agg(
-        F.array_distinct(F.percentile_approx("_v", grid, int(4 / band))).alias("_edges"), F.count("*").alias("_total")
-    )
-    placed = rows.join(F.broadcast(borders) if not by else borders, key).withColumn(
-        "_cell", F.size(F.filter("_edges", lambda e: e < F.col("_v")))
-    )
-    counts = placed.groupBy(*key, "_cell", "_total").agg(F.count("*").alias("_n"))
-    cum = counts.withColumn(
-        "_below", F.coalesce(F.sum("_n").over(Window.partitionBy(*key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    want = cum.select(*key, "_cell", "_below", "_n", "_total", F.explode(F.array(*[F.lit(float(p)) for p in points])).alias("p")).withColumn(
-        "_pos", F.col("p") * (F.col("_total") - 1)
-    )
-    lo, hi = F.floor("_pos"), F.ceil("_pos")
-    end = F.col("_below") + F.col("_n")
-    want = want.where(((lo >= F.col("_below")) & (lo < end)) | ((hi >= F.col("_below")) & (hi < end)))
-    cells_needed = want.groupBy(*key, "_cell", "_below").agg(F.collect_set(F.struct("p", "_pos")).alias("_wants"))
+    borders = cut_lineage(rows.groupBy(*by).agg(
+        F.array_distinct(F.percentile_approx("_v", grid, int(4 / band))).alias("_edges"), F.count("*").alias("_total")), "borders")
+    if by:
+        placed = rows.join(small_side(borders), by)
+    else:
+        placed = rows.withColumn("_edges", borders.select("_edges").scalar()).withColumn("_total", borders.select("_total").scalar())
+    placed = placed.withColumn("_cell", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).select(*by, "_v", "_total", "_cell")
+
+    before = lambda part, order: F.coalesce(
+        F.sum("_n").over(Window.partitionBy(*(part or [F.lit(0)])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = placed.groupBy(*by, "_cell", "_total").agg(F.count("*").alias("_n")).withColumn("_below", before(by, "_cell"))
+    want = counts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in points]))).withColumn("_pos", F.col("p") * (F.col("_total") - 1))
+    inside = lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_n"))
+    want = want.where(inside(F.floor("_pos")) | inside(F.ceil("_pos")))
+    cells = cut_lineage(want.groupBy(*by, "_cell", "_below").agg(F.collect_set(F.struct("p", "_pos")).alias("_wants")), "bands")
+
     values = (
-        placed.groupBy(*key, "_cell", "_v").agg(F.count("*").alias("_n"))
-        .join(cells_needed, [*key, "_cell"])
-        .withColumn("_from", F.col("_below") + F.coalesce(
-            F.sum("_n").over(Window.partitionBy(*key, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select(*key, "_v", "_n", "_from", F.explode("_wants").alias("w"))
-        .select(*key, "_v", "_n", "_from", "w.p", "w._pos")
+        placed.join(small_side(cells), [*by, "_cell"])
+        .groupBy(*by, "_cell", "_below", "_wants", "_v").agg(F.count("*").alias("_n"))
+        .withColumn("_from", F.col("_below") + before([*by, "_cell"], "_v"))
+        .select(*by, "_v", "_n", "_from", F.explode("_wants").alias("w"))
+        .select(*by, "_v", "_n", "_from", "w.p", "w._pos")
     )
-    last = F.col("_from") + F.col("_n")
-    at = lambda r: F.max(F.when((r >= F.col("_from")) & (r < last), F.col("_v")))
-    picked = values.groupBy(*key, "p", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_z"))
+    at = lambda r: F.max(F.when((r >= F.col("_from")) & (r < F.col("_from") + F.col("_n")), F.col("_v")))
+    picked = values.groupBy(*by, "p", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_z"))
     out = picked.withColumn("value", F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("_pos") - F.floor("_pos")))
     return out.select(*by, "p", "value")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareline import constants as K
 from fareline.functions import draws, geo, paths
 from fareline.operators.common import ranked
-from fareline.session import small_side
+from fareline.session import cut_lineage, small_side
 
 
 def polyline_points(df: DataFrame) -> DataFrame:
@@ -76,6 +76,7 @@ def pick_trajectory(trips: DataFrame, index: DataFrame, seed: int = 42) -> DataF
     on (kind, key, ordinal). The ordinal spreads a hot pair over as many join keys as it has routes.
     """
     numbered, sizes = with_ordinals(index)
+    sizes = cut_lineage(sizes, "route-sizes")  # a row per key: the written size decides on broadcast
 
     def level(kind, key):
         s = sizes.where(F.col("kind") == kind).select(F.col("key").alias(f"_{kind}_key"), F.col("size").alias(f"_{kind}_n"))

@@ -164,12 +164,15 @@ def _table(spark, pairs, name: str = "value") -> DataFrame:
 
 
 def other_zones(zones: DataFrame, within_class: bool) -> DataFrame:
-    """For every zone, the zones it may be swapped for (zone table squared, by equi-join on class or
-    on the city)."""
-    key = F.col("ae_class") if within_class else F.lit(K.CITY)
-    a = zones.select(key.alias("k"), F.col("zone_id").alias("not_zone"))
-    b = zones.select(key.alias("k"), F.col("zone_id").alias("alt_zone"), F.col("population").cast("double").alias("w"))
-    return a.join(b, "k").where("not_zone <> alt_zone").drop("k")
+    """For every zone, the zones it may be swapped for: the members of its class, or of the city,
+    other than itself. The zone lists are taken once and exploded."""
+    member = F.struct(F.col("zone_id").alias("alt_zone"), F.col("population").cast("double").alias("w"))
+    if within_class:
+        lists = zones.groupBy("ae_class").agg(F.collect_list(member).alias("others"))
+        base = zones.select("ae_class", F.col("zone_id").alias("not_zone")).join(lists, "ae_class")
+    else:
+        base = zones.select(F.col("zone_id").alias("not_zone")).withColumn("others", zones.agg(F.collect_list(member)).scalar())
+    return base.select("not_zone", F.inline("others")).where("not_zone <> alt_zone")
 
 
 def synth_trips(rows: DataFrame, prof: DataFrame, zones: DataFrame, seed: int = 42, start: str = "2024-03-01", key: str = "trip_key") -> DataFrame:

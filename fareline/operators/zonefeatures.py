@@ -115,6 +115,7 @@ def cell_density(points: DataFrame, grid: DataFrame) -> DataFrame:
     mult = full.groupBy("visits").agg(F.count("*").alias("m"))
     before = F.coalesce(F.sum("m").over(_all().orderBy("visits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rank = mult.withColumn("density_rank", (before + (F.col("m") + 1) / 2) / F.sum("m").over(_all())).select("visits", "density_rank")
+    # one row per distinct visit count, so never more rows than the grid has cells
     return full.join(F.broadcast(rank), "visits").select(
         "cell", "visits", "trips", (F.col("visits") * K.POINT_STEP_S).alias("dwell_s"), "density_rank")
 

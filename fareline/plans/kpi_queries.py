@@ -153,9 +153,9 @@ def duration_percentiles(spark, sf):
 
 
 @query("fare_percentiles_by_type", sql(" UNION ALL ".join(
-    f"SELECT call_type, {p}::DOUBLE AS p, round(quantile_cont(fare, {p}), 4) AS value FROM trips GROUP BY 1" for p in _P), "trips"))
+    f"SELECT call_type, {p}::DOUBLE AS p, round(quantile_cont(fare, {p}), 8) AS value FROM trips GROUP BY 1" for p in _P), "trips"))
 def fare_percentiles_by_type(spark, sf):
-    return rounded(common.percentiles(views.table(spark, sf, "trips"), "fare", list(_P), ["call_type"]), 4)
+    return rounded(common.percentiles(views.table(spark, sf, "trips"), "fare", list(_P), ["call_type"]), 8)
 
 
 @query("zone_in_out", sql("""SELECT zone_id, zone_name, ae_class, coalesce(p, 0) AS pickups, coalesce(d, 0) AS dropoffs, coalesce(p, 0) + coalesce(d, 0) AS total FROM zones
