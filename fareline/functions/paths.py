@@ -112,8 +112,9 @@ def subsample(points: Column, n_inner: int) -> Column:
     )
 
 
-def replay_steps(points: Column, start: Column, lon_scale: float, lat_scale: float, lon_box: tuple, lat_box: tuple) -> Column:
-    """Rebuild a path from a new start with scaled steps; a step leaving the box is mirrored."""
+def replay_steps(points: Column, start: Column, lon_scale: float, lat_scale: float, lon_box: tuple, lat_box: tuple, outline: Column | None = None) -> Column:
+    """Rebuild a path from a new start with scaled steps. A step leaving the box is mirrored; with an
+    ``outline`` (closed ring) a step that still ends outside of it is not taken."""
     steps = legs(points, lambda a, b: F.array((F.get(b, 0) - F.get(a, 0)) * lon_scale, (F.get(b, 1) - F.get(a, 1)) * lat_scale))
 
     def visit(path, d):
@@ -121,6 +122,9 @@ def replay_steps(points: Column, start: Column, lon_scale: float, lat_scale: flo
         lon, lat = F.get(cur, 0) + F.get(d, 0), F.get(cur, 1) + F.get(d, 1)
         lon = F.when(lon.between(*lon_box), lon).otherwise(F.get(cur, 0) - F.get(d, 0))
         lat = F.when(lat.between(*lat_box), lat).otherwise(F.get(cur, 1) - F.get(d, 1))
+        if outline is not None:
+            stay = ~geo.in_ring(lat, lon, outline)
+            lon, lat = F.when(stay, F.get(cur, 0)).otherwise(lon), F.when(stay, F.get(cur, 1)).otherwise(lat)
         return F.concat(path, F.array(F.array(lon, lat)))
 
     return F.aggregate(steps, F.array(start), visit)

@@ -308,3 +308,13 @@ def test_partition_count_does_not_change_results(spark, sf):
             seen.append(sorted(map(str, q[name](spark, sf).collect())))
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         assert seen[0] == seen[1], name
+
+
+def test_replay_mirrors_at_the_box_and_stays_inside_an_outline(spark):
+    df = spark.createDataFrame([([[0.0, 0.0], [2.0, 0.0], [2.5, 0.0], [2.5, 0.5]],)], "points array<array<double>>")
+    start = F.array(F.lit(4.0), F.lit(1.0))
+    plain = one(df.select(paths.replay_steps(F.col("points"), start, 1.0, 1.0, (0.0, 5.0), (0.0, 5.0)).alias("p"))).p
+    assert plain == [[4.0, 1.0], [2.0, 1.0], [2.5, 1.0], [2.5, 1.5]]
+    ring = F.array(*[F.array(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (2.25, 0.0), (2.25, 5.0), (0.0, 5.0), (0.0, 0.0))])
+    held = one(df.select(paths.replay_steps(F.col("points"), start, 1.0, 1.0, (0.0, 5.0), (0.0, 5.0), ring).alias("p"))).p
+    assert held == [[4.0, 1.0], [2.0, 1.0], [2.0, 1.0], [2.0, 1.5]]
