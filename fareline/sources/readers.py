@@ -116,13 +116,16 @@ def pick_indicators(df: DataFrame) -> DataFrame:
     )
 
 
-def decode_events(df: DataFrame, schema: str, kind: str, value: str = "value") -> DataFrame:
-    """JSON text to columns. Unparsable rows and rows without a readable time are dropped, missing
-    fields take their defaults, and rows without a type are positions."""
-    e = F.from_json(value, schema, {"mode": "PERMISSIVE"})
-    out = df.select(*[c for c in df.columns if c != value], e.alias("e")).where("e IS NOT NULL").select(
-        *[c for c in df.columns if c != value], "e.*")
-    out = out.withColumn("event_time", F.try_to_timestamp("event_time")).where("event_time IS NOT NULL")
+def decode_events(df: DataFrame, schema: str, kind: str, value: str = "value", record_time: str | None = None) -> DataFrame:
+    """JSON text to columns. Unparsable rows are dropped, missing fields take their defaults, and rows
+    without a type are positions. Rows without a readable event time are dropped, or take the broker's
+    ``record_time`` where that column is named."""
+    others = [c for c in df.columns if c != value]
+    bad = "_bad"
+    e = F.from_json(value, f"{schema}, {bad} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    out = df.select(*others, e.alias("e")).where(f"e IS NOT NULL AND e.{bad} IS NULL").select(*others, "e.*").drop(bad)
+    parsed = F.try_to_timestamp("event_time")
+    out = out.withColumn("event_time", F.coalesce(parsed, F.col(record_time)) if record_time else parsed).where("event_time IS NOT NULL")
     if kind == "gps":
         return out.withColumns({
             "_type": F.coalesce("_type", F.lit("gps")),

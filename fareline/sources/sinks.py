@@ -56,12 +56,18 @@ def upsert(batch: DataFrame, path: str, keys: list[str], part: str, version: str
     write_partitioned(cut_lineage(merged, "upsert"), path, part)
 
 
-def insert_absent(batch: DataFrame, path: str, keys: list[str], order: list[Column]) -> None:
-    """Add rows whose key is not in the table yet; within a batch the first row wins."""
+def insert_absent(batch: DataFrame, path: str, keys: list[str], order: list[Column], part: str | None = None) -> None:
+    """Add rows whose key is not in the table yet; within a batch the first row wins. With ``part``
+    (one of the keys) the table is partitioned by it and only the batch's partitions are looked at.
+    Running a batch twice adds nothing, so a retried micro-batch is harmless."""
     first = last_write_wins(batch, keys, *order)
     old = _existing(batch.sparkSession, path)
-    fresh = first if old is None else first.join(old.select(*keys), keys, "left_anti")
-    fresh.write.mode("append").parquet(path)
+    if old is not None:
+        if part:
+            old = old.where(F.col(part).isin([r[0] for r in batch.select(part).distinct().collect()]))
+        first = first.join(old.select(*keys), keys, "left_anti")
+    writer = first.write.mode("append")
+    (writer.partitionBy(part) if part else writer).parquet(path)
 
 
 def ttl_view(df: DataFrame, ts: str, ttl_s: int, as_of: Column) -> DataFrame:

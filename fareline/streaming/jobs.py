@@ -13,7 +13,7 @@ from fareline import constants as K
 from fareline.functions import geo, pricing
 from fareline.operators import gps, matching
 from fareline.session import small_side
-from fareline.sources import readers
+from fareline.sources import readers, sinks
 from fareline.sources.sinks import archive_columns
 from fareline.streaming.processors import INCREASING_SCHEMA, OUTCOME_SCHEMA, StrictlyIncreasing, ZoneMatcher
 
@@ -49,6 +49,22 @@ def archive_stream(df: DataFrame, path: str, checkpoint: str, ts: str = "event_t
     )
 
 
+def serve_latest(df: DataFrame, path: str, keys: list[str], part: str, version: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Serving table with one row per key, the highest ``version`` winning; one bulk merge per batch."""
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        sinks.upsert(batch, path, keys, part, version)
+
+    return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def serve_first(df: DataFrame, path: str, keys: list[str], order: list[str], checkpoint: str, part: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Serving table where the first row of a key stays."""
+    def add(batch: DataFrame, _batch_id: int) -> None:
+        sinks.insert_absent(batch, path, keys, [F.col(c) for c in order], part)
+
+    return df.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def json_pings(values: DataFrame) -> DataFrame:
     return readers.decode_events(values, readers.PING_JSON, "gps").withWatermark("event_time", PING_DELAY)
 

@@ -85,3 +85,31 @@ def test_messages_and_once_trigger(spark):
 def test_normalized_has_no_raw_position(spark, sf):
     n = normalized(spark, sf).join(views.pings(spark, sf).select("event_id", F.col("lat").alias("y"), F.col("lon").alias("x")), "event_id")
     assert n.where("lat = y OR lon = x").count() == 0
+
+
+def test_serving_tables_from_a_stream(spark, sf, tmp_path):
+    pos = _positions(spark, sf)
+    path = feed(spark, pos, "event_time", "serve", batches=3)
+    latest, first = str(tmp_path / "latest"), str(tmp_path / "first")
+    for q in (
+        jobs.serve_latest(replay(spark, path, POSITION), latest, ["zone_id", "taxi_id"], "zone_id", "event_time", str(tmp_path / "c1"), ONCE),
+        jobs.serve_first(replay(spark, path, POSITION), first, ["zone_id", "taxi_id"], ["event_time"], str(tmp_path / "c2"), "zone_id", ONCE),
+    ):
+        assert q.awaitTermination(300)
+    rows = pos.select("zone_id", "taxi_id", "event_time", "arrival").collect()
+    want = {}
+    for r in rows:
+        k = (r.zone_id, r.taxi_id)
+        want[k] = max(want.get(k, r.event_time), r.event_time)
+    assert {((r.zone_id, r.taxi_id), r.event_time) for r in spark.read.parquet(latest).collect()} == set(want.items())
+    kept = spark.read.parquet(first).select("zone_id", "taxi_id").collect()
+    assert len(kept) == len(set(kept)) == len(want)
+
+
+def test_event_time_falls_back_to_record_time(spark):
+    from fareline.sources import readers
+
+    df = spark.createDataFrame([('{"taxi_id":"a","event_time":"2024-01-01T00:00:00Z"}', at(9)), ('{"taxi_id":"b"}', at(9)), ("{oops", at(9))], "value string, record_time timestamp")
+    got = {r.taxi_id: r.event_time for r in readers.decode_events(df, readers.PING_JSON, "gps", record_time="record_time").collect()}
+    assert {k: v.timestamp() for k, v in got.items()} == {"a": at(0).timestamp(), "b": at(9).timestamp()}
+    assert {r.taxi_id for r in readers.decode_events(df, readers.PING_JSON, "gps").collect()} == {"a"}
