@@ -37,19 +37,21 @@ def curate_trips(raw: DataFrame, zones: DataFrame, mode: str = "first") -> DataF
     The polyline is reduced to its ends before the dedupe, so the one wide shuffle moves narrow
     rows; the row checks run after it, because a bad first copy must not let a later copy in.
     """
-    parsed = with_points(raw)
+    # which of several deliveries counts must not depend on the run: a given order, else a row hash
+    order = F.col("delivery") if "delivery" in raw.columns else F.xxhash64(*raw.columns)
+    parsed = with_points(raw.withColumn("copy_order", order))
     has_path = F.coalesce(F.size("points") >= 2, F.lit(False))
     narrow = parsed.select(
         F.col("TRIP_ID").alias("trip_id"), F.col("TAXI_ID").alias("taxi_id"), F.col("CALL_TYPE").alias("call_type"),
         F.nullif(F.col("ORIGIN_CALL"), F.lit("")).alias("origin_call"),
         F.nullif(F.col("ORIGIN_STAND"), F.lit("")).alias("origin_stand"),
-        F.col("TIMESTAMP").cast("long").alias("timestamp"), F.col("DAY_TYPE").alias("day_type"), "delivery",
+        F.col("TIMESTAMP").cast("long").alias("timestamp"), F.col("DAY_TYPE").alias("day_type"), "copy_order",
         (is_complete(F.col("MISSING_DATA")) & has_path).alias("usable"),
         F.when(has_path, F.size("points")).alias("num_gps_points"),
         F.when(has_path, F.try_element_at("points", F.lit(1))).alias("p0"),
         F.when(has_path, F.try_element_at("points", F.lit(-1))).alias("p1"),
     )
-    one = dedupe(narrow, "trip_id", F.col("delivery"))
+    one = dedupe(narrow, "trip_id", F.col("copy_order"))
     gated = (
         one.where("usable")
         .withColumn("trip_duration_sec", (F.col("num_gps_points") - 1) * K.POINT_STEP_S)
