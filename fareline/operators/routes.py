@@ -44,7 +44,7 @@ def assign_fleet(trips: DataFrame, fleet: int, time: str = "event_time", tie: st
 def trajectory_index(routes: DataFrame) -> DataFrame:
     """Route ids by zone pair and by class pair, long form with an ordinal per key.
 
-    The reference form is a list per key; a list would put a hot pair's ids into one row, so the
+    A list per key would put a hot pair's ids into one row, so the
     ordinal table keeps them as rows and still answers 'the n-th route of this pair'.
     """
     keyed = routes.select("route_id", "event_time", F.inline(F.array(

@@ -27,6 +27,11 @@ def zone_index(zones: DataFrame, size: float = INDEX_DEG) -> DataFrame:
     )
 
 
+def box_index(zones: DataFrame) -> DataFrame:
+    """The zone index, marked for broadcast if it is small enough."""
+    return small_side(zone_index(zones), expand=64)
+
+
 def centroid_list(zones: DataFrame) -> Column:
     """All zone centroids as one scalar-subquery value (a city has tens of zones)."""
     return zones.agg(
@@ -59,16 +64,17 @@ def assign_box_zone(
     mode: str = "first",
     prefix: str = "",
     fallback: str | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``<prefix>zone`` and ``<prefix>zone_name`` by box containment.
 
     mode: ``all`` repeats the row for every zone hit, ``first`` / ``last`` take the lowest / highest
     zone id. Rows in no zone get nulls, or the nearest centroid with ``fallback`` = ``degrees`` or
-    ``haversine``.
+    ``haversine``. ``index`` is a ready :func:`box_index`, to share it between both trip ends.
     """
     y, x = F.col(lat), F.col(lon)
     size = INDEX_DEG
-    joined = df.withColumn("ix_cell", geo.grid_cell(y, x, size)).join(small_side(zone_index(zones, size), expand=64), "ix_cell", "left")
+    joined = df.withColumn("ix_cell", geo.grid_cell(y, x, size)).join(box_index(zones) if index is None else index, "ix_cell", "left")
     hits = F.filter(
         "ix_zones",
         lambda z: (y >= z["lat_min"]) & (y <= z["lat_max"]) & (x >= z["lon_min"]) & (x <= z["lon_max"]),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fareline import constants as K
 from fareline.functions import geo, paths, timeparts
 from fareline.operators.common import dedupe
-from fareline.operators.spatial import assign_box_zone
+from fareline.operators.spatial import assign_box_zone, box_index
 
 
 def is_complete(flag):
@@ -71,8 +71,9 @@ def curate_trips(raw: DataFrame, zones: DataFrame, mode: str = "first") -> DataF
         F.hour(ts).alias("hour_of_day"), F.weekday(ts).alias("day_of_week"),
         timeparts.is_weekend(ts).alias("is_weekend"), timeparts.is_friday(ts).alias("is_friday"),
     )
-    zoned = assign_box_zone(placed, zones, "orig_lat", "orig_lon", mode, "origin_")
-    zoned = assign_box_zone(zoned, zones, "dest_lat", "dest_lon", mode, "dest_")
+    index = box_index(zones)
+    zoned = assign_box_zone(placed, zones, "orig_lat", "orig_lon", mode, "origin_", index=index)
+    zoned = assign_box_zone(zoned, zones, "dest_lat", "dest_lon", mode, "dest_", index=index)
     return drop_unzoned(zoned).withColumn(
         "trip_distance_km",
         geo.sphcos_km(F.col("orig_lat"), F.col("orig_lon"), F.col("dest_lat"), F.col("dest_lon")),
@@ -85,8 +86,9 @@ def drop_unzoned(df: DataFrame) -> DataFrame:
 
 def curate_located(trips: DataFrame, zones: DataFrame, mode: str = "first") -> DataFrame:
     """Curated form of trips that already carry target coordinates."""
-    z = assign_box_zone(trips, zones, "o_lat", "o_lon", mode, "origin_")
-    z = drop_unzoned(assign_box_zone(z, zones, "d_lat", "d_lon", mode, "dest_"))
+    index = box_index(zones)
+    z = assign_box_zone(trips, zones, "o_lat", "o_lon", mode, "origin_", index=index)
+    z = drop_unzoned(assign_box_zone(z, zones, "d_lat", "d_lon", mode, "dest_", index=index))
     ts = F.col("event_time")
     return z.withColumns(
         {

@@ -31,9 +31,11 @@ def normalized(spark, sf):
 
 def asked(spark, sf):
     z = views.zones(spark, sf)
-    r = spatial.assign_box_zone(views.requests(spark, sf), z, "origin_lat", "origin_lon", prefix="o_")
-    r = spatial.assign_box_zone(r, z, "dest_lat", "dest_lon", prefix="d_")
-    return r.select(*views.requests(spark, sf).columns, F.coalesce("o_zone", F.lit(0)).alias("origin_zone"), F.coalesce("d_zone", F.lit(0)).alias("dest_zone"))
+    index = spatial.box_index(z)
+    base = views.requests(spark, sf)
+    r = spatial.assign_box_zone(base, z, "origin_lat", "origin_lon", prefix="o_", index=index)
+    r = spatial.assign_box_zone(r, z, "dest_lat", "dest_lon", prefix="d_", index=index)
+    return r.select(*base.columns, F.coalesce("o_zone", F.lit(0)).alias("origin_zone"), F.coalesce("d_zone", F.lit(0)).alias("dest_zone"))
 
 
 @query("gps_dedupe", sql("SELECT event_id, taxi_id FROM mono", *NEED, extra=NORM))

@@ -27,7 +27,7 @@ def build_session(master: str | None = None, partitions: int | None = None) -> S
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        b = b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
+        b = b.master(master).config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
     if partitions:
         b = b.config("spark.sql.shuffle.partitions", str(partitions))
     return b.getOrCreate()
