@@ -41,11 +41,13 @@ _local_root: str | None = None
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared folder named by ``spark.checkpoint.dir``. Only where the
-    setting is absent (a local test session) a temporary folder of this machine is used."""
+    """A new folder below the shared folder named by ``spark.checkpoint.dir``. Only a local session
+    may leave the setting out; it then uses a temporary folder of this machine."""
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="fareline-")
             atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
