@@ -3,17 +3,16 @@
 import math
 import sys
 import time
+from pathlib import Path
 
 import duckdb
 
-from fareline.sources.tables import BASE_TABLES
-
 
 def duck(sf_dir):
     con = duckdb.connect()
     con.execute("set timezone='UTC'")
-    for t in BASE_TABLES:
-        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"create view {path.stem} as select * from '{path}'")
     return con
 
 
