@@ -29,7 +29,7 @@ ORACLES["op1_minhash_dedup"] = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
 s as (select doc_id, case when len(ws) = 0 then [] when len(ws) = 1 then [ws[1]]
-        else list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1])) end as sh from w),
+        else list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) end as sh from w),
 n as (select doc_id, len(sh) as n, list_sort(sh) as sh from s),
 u as (select min(doc_id) as node, any_value(n) as n, any_value(sh) as sh from n where n > 0 group by hash(sh), n, sh),
 x as (select node, n, unnest(sh) as g from u),

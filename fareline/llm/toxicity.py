@@ -18,14 +18,20 @@ from pyspark.sql import functions as F
 from fareline.llm.common import arrow_map, plain_words
 
 WINDOW, STRIDE = 24, 16
-WORD_SLOTS = CHAR_SLOTS = 1 << 13
+WORD_SLOTS = CHAR_SLOTS = 1 << 16
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 16, 8
 THRESHOLD = 0.3
 
 #: The fit uses at most so many labelled documents of each label, in hash order, and of those
 #: documents of at most this many words: a bounded sample, whatever the table's size.
-SAMPLE_DOCS, SAMPLE_WORDS = 1000, 500
-EPOCHS, BATCH_DOCS, RATE = 4, 16, 5e-3
+SAMPLE_DOCS, SAMPLE_WORDS = 1000, 1000
+STEPS, BATCH_DOCS, RATE = 300, 16, 3e-3
+
+#: The first coordinate of a word's and a run's vector is fixed: how far its share of toxic sample
+#: documents is from the whole sample's, in standard deviations. The others are learned.
+#: Words and runs found in fewer sample documents get no vector of their own: they would only name
+#: the documents they are in.
+LEAST_DOCS = 5
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -79,10 +85,11 @@ class Net:
     """Parameters and passes. Per direction: gates z, r and candidate h from input and state."""
 
     def __init__(self, seed: int = 3):
+        self.known: dict[str, np.ndarray] = {}
         rng = np.random.default_rng(seed)
         d, h = WORD_DIM + CHAR_DIM, HIDDEN
         init = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-        self.p = {"word": (0.1 * rng.standard_normal((WORD_SLOTS, WORD_DIM))).astype(np.float32), "char": (0.3 * rng.standard_normal((CHAR_SLOTS, CHAR_DIM))).astype(np.float32)}
+        self.p = {"word": (0.03 * rng.standard_normal((WORD_SLOTS, WORD_DIM))).astype(np.float32), "char": (0.03 * rng.standard_normal((CHAR_SLOTS, CHAR_DIM))).astype(np.float32)}
         for k in "fb":
             self.p |= {f"W{k}": init(d, 3 * h), f"U{k}": init(h, 3 * h), f"c{k}": np.zeros(3 * h, np.float32)}
         self.p |= {"A": init(2 * h, h), "v": init(h), "o": init(2 * h), "q": np.full(1, -3.0, np.float32)}
@@ -170,8 +177,9 @@ class Net:
             g[f"U{k}"], g[f"W{k}"], g[f"c{k}"] = du, x.T @ dproj, dproj.sum(axis=0)
             dx += dproj @ p[f"W{k}"].T
         word, char, owner, n = slots
-        g["word"] = scatter(word, dx[:, :WORD_DIM], len(p["word"]))
-        g["char"] = scatter(char, (dx[:, WORD_DIM:] / np.sqrt(n)[:, None])[owner], len(p["char"]))
+        for name, slot, grad in (("word", word, dx[:, :WORD_DIM]), ("char", char, (dx[:, WORD_DIM:] / np.sqrt(n)[:, None])[owner])):
+            rows, at = np.unique(slot, return_inverse=True)
+            g[name] = (rows, scatter(at, grad, len(rows)))
         return g
 
 
@@ -186,39 +194,55 @@ def windows_of(docs: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(at), np.concatenate(owner)
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 3) -> Net | None:
-    """Fit on labelled texts; None unless both labels occur among texts with words."""
-    docs = [(plain_words(t), y) for t, y in zip(texts, labels)]
-    docs = [(w, y) for w, y in docs if w]
+def train(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 3) -> Net | None:
+    """Fit on labelled texts, half of each batch toxic; None unless both labels occur among texts
+    with words. The number of steps is the same for any sample."""
+    docs = [(w, y) for t, y in zip(texts, labels) if (w := plain_words(t))]
     if len({y for _, y in docs}) < 2:
         return None
     net, rng = Net(seed), np.random.default_rng(seed)
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    step, batches = 0, -(-len(docs) // BATCH_DOCS)
-    total = epochs * batches
-    for _ in range(epochs):
-        order = rng.permutation(len(docs))
-        for lo in range(0, len(docs), BATCH_DOCS):
-            own = [docs[i] for i in order[lo : lo + BATCH_DOCS]]
-            vocab: dict[bytes, int] = {}
-            rows = [np.array([vocab.setdefault(w, len(vocab)) for w in words], np.int64) for words, _ in own]
-            slots = net.inputs(list(vocab))
-            x = net.embed(slots)
-            proj = net.project(x)
-            at, owner = windows_of(rows, len(vocab))
-            logit, kept = net.forward(proj, at, keep=True)
-            p, y = sigmoid(logit), np.array([y for _, y in own])[owner]
-            clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-6)), len(own))
-            doc = np.maximum(1 - np.exp(clean), 1e-6)[owner]
-            d = np.where(y == 1, p * (doc - 1) / doc, p) / len(own)
-            grads = net.backward(proj, kept, d.astype(np.float32), x, slots)
-            step += 1
-            rate = RATE * min(1, 4 * (1 - step / (total + 1)))
-            for k, g in grads.items():
-                m, v = adam[k]
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                net.p[k] -= np.float32(rate / (1 - 0.9**step)) * m / (np.sqrt(v / np.float32(1 - 0.99**step)) + np.float32(1e-7))
+    share = sum(y for _, y in docs) / len(docs)
+    for name, size, slots_of in (("word", WORD_SLOTS, 0), ("char", CHAR_SLOTS, 1)):
+        seen, toxic = np.zeros(size), np.zeros(size)
+        for words, y in docs:
+            at = np.unique(net.inputs(list(set(words)))[slots_of])
+            seen[at] += 1
+            toxic[at] += y
+        z = (toxic - share * seen) / np.sqrt(share * (1 - share) * seen + 1)
+        net.known[name] = seen >= LEAST_DOCS
+        net.p[name][:, 0] = np.clip(z, -6, 6) / 2
+        net.p[name][~net.known[name]] = 0
+    turns = []
+    for y in (0, 1):
+        at, need = [i for i, d in enumerate(docs) if d[1] == y], steps * BATCH_DOCS // 2
+        turns.append(np.concatenate([rng.permutation(at) for _ in range(-(-need // len(at)))])[:need].reshape(steps, -1))
+    for step, batch in enumerate(np.concatenate(turns, axis=1), 1):
+        own = [docs[i] for i in batch]
+        vocab: dict[bytes, int] = {}
+        rows = [np.array([vocab.setdefault(w, len(vocab)) for w in words], np.int64) for words, _ in own]
+        slots = net.inputs(list(vocab))
+        x = net.embed(slots)
+        proj = net.project(x)
+        at, owner = windows_of(rows, len(vocab))
+        logit, kept = net.forward(proj, at, keep=True)
+        p, y = sigmoid(logit), np.array([y for _, y in own])[owner]
+        clean = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-6)), len(own))
+        doc = np.maximum(1 - np.exp(clean), 1e-6)[owner]
+        d = np.where(y == 1, p * (doc - 1) / doc, p) / len(own)
+        grads = net.backward(proj, kept, d.astype(np.float32), x, slots)
+        rate = RATE * min(1, 4 * (1 - step / (steps + 1)))
+        for k, g in grads.items():
+            at = slice(None)
+            if isinstance(g, tuple):
+                own = net.known[k][g[0]]
+                at, g = g[0][own], g[1][own]
+                g[:, 0] = 0
+            m, v = adam[k][0][at], adam[k][1][at]
+            m = m + 0.1 * (g - m)
+            v = v + 0.01 * (g * g - v)
+            adam[k][0][at], adam[k][1][at] = m, v
+            net.p[k][at] -= (rate / (1 - 0.9**step) * m / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
     return net
 
 
@@ -275,14 +299,14 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, epochs: int = EPOCHS) -> Net | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, steps: int = STEPS) -> Net | None:
     """Train on a bounded sample of labelled rows outside the held-out fold."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(~held_out() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     pick = [usable.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for y in (0, 1)]
     chosen = F.broadcast(pick[0].union(pick[1]))  # at most 2 * sample_docs rows of two numbers
     short = F.length("text") <= 7 * sample_words
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(short).join(chosen, "doc_id").orderBy("doc_id", "text").limit(2 * sample_docs).collect()
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows], epochs)
+    return train([r["text"] for r in rows], [r["toxic"] for r in rows], steps)
 
 
 _scorers: dict = {}
