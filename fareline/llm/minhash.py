@@ -25,7 +25,7 @@ MANTISSA_BITS = 10
 _ORDER = np.random.default_rng(20240229).permutation(BUCKETS)
 
 #: Hubs of one candidate group in one round.
-HUBS = 16
+HUBS = 64
 
 _hashes = WordHashes()
 
