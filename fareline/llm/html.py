@@ -5,8 +5,8 @@ notice, advert, form or comment container is never text. The first pass judges t
 link density, length and the density of stop words: good, bad, or ambiguous (short, or undecided).
 In the second pass an ambiguous block takes the label of its nearest decided neighbours in its
 region; where they differ, the nearer one, at equal distance the good one. A region is the article
-(or main) element, if the page has one, or else the body; an article without any decided block is
-good, as the author marked it.
+(or main) element, if the page has one, or else the body. In an article, which the author has marked
+as text, lists of links are left out but do not spoil their neighbours.
 """
 
 import html
@@ -157,11 +157,11 @@ def second_pass(labels: list[bool | None], in_article: bool) -> list[bool]:
     n, before, after = len(labels), [], []
     last = None
     for i, x in enumerate(labels):
-        last = (i, x) if x is not None else last
+        last = (i, x) if x or x is False and not in_article else last
         before.append(last)
     last = None
     for i in range(n - 1, -1, -1):
-        last = (i, labels[i]) if labels[i] is not None else last
+        last = (i, labels[i]) if labels[i] or labels[i] is False and not in_article else last
         after.append(last)
     after.reverse()
     out = []
@@ -169,7 +169,6 @@ def second_pass(labels: list[bool | None], in_article: bool) -> list[bool]:
         if x is None:
             near = [(abs(i - p[0]), not p[1], p[1]) for p in (before[i], after[i]) if p]
             x = min(near)[2] if near else in_article
-            x = x or in_article and not any(y for y in labels if y)
         out.append(x)
     return out
 

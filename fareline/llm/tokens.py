@@ -260,7 +260,10 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_i
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     key = [F.col("doc_id").asc_nulls_first(), "__h"]
-    shards = shard_count(estimated_bytes(src), spark.sparkContext.defaultParallelism)
+    size = estimated_bytes(src)
+    if size > 1 << 50:  # the optimizer has no estimate
+        size = int(src.agg(F.sum(F.octet_length("text"))).head()[0] or 0)
+    shards = shard_count(size, spark.sparkContext.defaultParallelism)
 
     def run(batches):
         from pyspark import TaskContext

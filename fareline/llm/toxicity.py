@@ -77,8 +77,8 @@ def char_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_starts(n: int) -> np.ndarray:
-    """First words of the windows over n words; the last window ends at the last word."""
-    return np.arange(0, max(1, n - STRIDE), STRIDE)
+    """First words of the windows over n words; the last window holds the last word."""
+    return np.arange(0, max(1, n - (WINDOW - STRIDE)), STRIDE)
 
 
 class Net:
