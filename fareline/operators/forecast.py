@@ -11,7 +11,9 @@ from fareline import constants as K
 
 def train_gbt(train: DataFrame, leaky: bool = False, iterations: int = 50, depth: int = 5, bins: int = 64) -> PipelineModel:
     """Gradient-boosted trees on the feature matrix. The supply/demand ratio has the target in its
-    denominator and is left out unless ``leaky`` is set. ``bins`` must exceed the zone count."""
+    denominator and is left out unless ``leaky`` is set. ``bins`` grows to hold
+    every zone and the unknown one."""
+    bins = max(bins, train.select("origin_zone").distinct().count() + 2)
     cols = [*K.MODEL_FEATURES, *([K.LEAKY_FEATURE] if leaky else [])]
     stages = [
         StringIndexer(inputCol="origin_zone", outputCol="zone_idx", handleInvalid="keep"),

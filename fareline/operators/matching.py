@@ -164,7 +164,7 @@ def _run_slice(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["slice", "seq", "trip_id", "zone_id", "taxi_id", "ping_ms"])
 
 
-def match_exclusive(requests: DataFrame, pings: DataFrame, zones: DataFrame, slice_s: int = 120, max_rounds: int | None = None) -> DataFrame:
+def match_exclusive(requests: DataFrame, pings: DataFrame, zones: DataFrame, slice_s: int = 120) -> DataFrame:
     """Greedy assignment in event order: a ping serves one trip, a trip is served once, zones are
     asked in hop order.
 
@@ -192,9 +192,7 @@ def match_exclusive(requests: DataFrame, pings: DataFrame, zones: DataFrame, sli
 
     result = cut_lineage(events.groupBy("slice").applyInPandas(_run_slice, SLICE_SCHEMA), "match-0")
     handed = events.limit(0).select("slice", "zone_id", "taxi_id", "ping_ms")
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
+    while True:
         # a use is handed to the next slice if the ping is still alive there
         over = result.where((F.floor((F.col("ping_ms") + K.VEHICLE_TTL_S * 1000 - 1) / width)) > F.col("slice")).select(
             (F.col("slice") + 1).alias("slice"), "zone_id", "taxi_id", "ping_ms")

@@ -92,7 +92,7 @@ def model_for(spark, sf):
     if key not in _saved:
         train, _ = features.split_at(matrix(spark, sf), SPLIT)
         path = scratch(spark, "model")
-        forecast.save_model(forecast.train_gbt(train, iterations=20), path)
+        forecast.save_model(forecast.train_gbt(train), path)
         _saved[key] = path
     return forecast.load_model(_saved[key])
 
