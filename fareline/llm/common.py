@@ -112,13 +112,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     seen = count_and_check(cur, "u", "v")
     while seen[0]:
         both = cur.union(cur.select("v", "u"))
-        low, p1 = store(both.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.first("u")).alias("m")), label)
-        big, p2 = store(both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), label)
-        low, p3 = store(big.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m")), label)
+        low = both.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        big, p1 = store(both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), label)
+        low = big.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
         hooked = big.join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new, p4 = store(low.select(F.col("k").alias("u"), F.col("m").alias("v")).union(hooked).where("u <> v").distinct(), label)
-        remove(spark, path, p1, p2, p3)
-        cur, path, now = new, p4, count_and_check(new, "u", "v")
+        new, p2 = store(low.select(F.col("k").alias("u"), F.col("m").alias("v")).union(hooked).where("u <> v").distinct(), label)
+        remove(spark, path, p1)
+        cur, path, now = new, p2, count_and_check(new, "u", "v")
         if now == seen:
             break
         seen = now

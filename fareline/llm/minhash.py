@@ -24,8 +24,9 @@ BUCKETS = BANDS * ROWS
 MANTISSA_BITS = 10
 _ORDER = np.random.default_rng(20240229).permutation(BUCKETS)
 
-#: Hubs of one candidate group in one round.
-HUBS = 64
+#: Hubs of one candidate group in the first round, and the growth from round to round. What the
+#: first rounds have not joined must be compared anyway; more hubs at once only save rounds.
+HUBS, HUB_GROWTH = 64, 8
 
 _hashes = WordHashes()
 
@@ -104,13 +105,13 @@ def _bands(nodes: DataFrame) -> DataFrame:
 
         raw = b"".join(batch.column("regs").to_pylist())
         keys = signed(np.ascontiguousarray(band_keys(np.frombuffer(raw, np.uint16).reshape(-1, BUCKETS))).reshape(-1))
-        return {"node": batch.column("node"), "band": pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32)), pa.array(keys))}
+        return {"node": batch.column("node"), "n": batch.column("n"), "band": pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32)), pa.array(keys))}
 
-    return arrow_map(nodes.select("node", "regs"), run, "node long, band array<bigint>").select(F.explode("band").alias("band"), "node")
+    return arrow_map(nodes.select("node", "n", "regs"), run, "node long, n long, band array<bigint>").select(F.explode("band").alias("band"), "node", "n")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) that the sizes and the sketch estimate leave possible."""
+    """Pairs (a, b) that the sketch estimate leaves possible."""
     least = threshold - margin(threshold)
 
     def run(batch):
@@ -122,8 +123,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
         return {c: batch.column(c).filter(keep) for c in ("a", "b")}
 
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
-    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    return arrow_map(sized, run, "a long, b long")
+    return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -164,10 +164,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         "op1-nodes",
     )
     keyed, p_keyed = store(_bands(nodes), "op1-bands")
-    hot, p_hot = store(keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("hub")).where("c > 1"), "op1-groups")
-    groups, p_groups = store(keyed.join(hot.select("band", "hub"), "band"), "op1-members")
-    remove(spark, p_keyed, p_hot)
+    hot = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("h")).where("c > 1")
+    groups, p_groups = store(keyed.join(hot.select("band", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n")), "band"), "op1-members")
+    remove(spark, p_keyed)
     old = [p_groups]
+    fits = lambda x, y: 100 * F.least(x, y) >= round(100 * threshold) * F.greatest(x, y)
 
     def links(pairs: DataFrame) -> DataFrame:
         pairs, p1 = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "op1-pairs")
@@ -179,38 +180,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         old.append(p4)
         return found
 
-    labels, p_labels = store(components(links(groups.select(F.col("node").alias("a"), F.col("hub").alias("b")))), "op1-labels")
-    swept = groups.where("node = hub").select("band", "node")
+    def relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
+        comp = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+        merged = found.join(comp("a"), "a").join(comp("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        joined = components(merged).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+        return labels.join(joined, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+
+    found = links(groups.where(fits("n", "hub_n")).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    labels, p_labels = store(relabel(nodes.select("node", F.col("node").alias("comp")), found), "op1-labels")
+    swept, hubs_now = groups.where("node = hub").select("band", "node"), HUBS
     while True:
-        live = groups.select("band", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        live, p_live = store(live.join(swept.withColumn("done", F.lit(True)), ["band", "node"], "left"), "op1-live")
-        per = live.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"), F.min(F.when(F.col("done").isNull(), F.col("node"))).alias("next"))
-        open_groups = per.groupBy("band").agg(F.count("next").alias("open"), F.max(F.struct("c", "comp")).alias("top")).where("open > 1")
-        per, p_per = store(per.join(open_groups, "band").where("next is not null"), "op1-open")
-        if per.isEmpty():
-            remove(spark, p_live, p_per)
+        live = groups.select("band", "node", "n").join(labels, "node").join(swept.withColumn("done", F.lit(True)), ["band", "node"], "left")
+        live, p_live = store(live, "op1-live")
+        undone = live.where("done is null")
+        largest = undone.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.count(F.lit(1)).alias("open"), F.max(F.struct("c", "comp")).alias("top")).where("open > 1")
+        # One order of the nodes for all bands: a pair that shares bands is compared in one round.
+        turn = F.xxhash64("node")
+        chosen = undone.join(largest, "band").where("comp <> top.comp").groupBy("band", F.pmod(turn, F.lit(hubs_now)).alias("salt")).agg(F.min(F.struct(turn.alias("turn"), "node", "n", "comp")).alias("h"))
+        hubs, p_hubs = store(chosen.select("band", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.comp").alias("hub_comp")), "op1-hubs")
+        old += [p_live, p_hubs]
+        if hubs.isEmpty():
             break
-        salt = F.pmod(F.xxhash64("comp"), F.lit(HUBS))
-        hubs, p_hubs = store(per.groupBy("band", salt.alias("salt")).agg(F.min(F.struct(F.when(F.col("comp") == F.col("top.comp"), 1).otherwise(0).alias("last"), "c", "next", "comp")).alias("h")).select("band", F.col("h.next").alias("hub"), F.col("h.comp").alias("hub_comp")), "op1-hubs")
-        pairs = live.select("band", "node", "comp").join(hubs, "band").where("comp <> hub_comp").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        found = links(pairs)
+        found = links(live.join(hubs, "band").where((F.col("comp") != F.col("hub_comp")) & fits("n", "hub_n")).select(F.col("node").alias("a"), F.col("hub").alias("b")))
         if not found.isEmpty():
-            known = F.coalesce(F.col("comp"), F.col("x"))
-            at = lambda c, to: found.select("a", "b").withColumn("x", F.col(c)).join(labels.withColumnRenamed("node", "x"), "x", "left").select("a", "b", known.alias(to))
-            merged = at("a", "ca").join(at("b", "cb"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-            joined, p_joined = store(components(merged), "op1-merged")
-            base = labels.union(found.select(F.col("a"), F.col("a").alias("c")).union(found.select("b", "b")).distinct().join(labels, F.col("a") == F.col("node"), "left_anti"))
-            new, p_new = store(base.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "op1-labels")
-            remove(spark, p_labels, p_joined)
-            labels, p_labels = new, p_new
-        more, p_swept = store(swept.union(hubs.select("band", F.col("hub").alias("node"))).distinct(), "op1-swept")
-        swept = more
-        old.append(p_swept)
-        remove(spark, p_live, p_per, p_hubs)
-    comp_of, p_comp = store(nodes.select("node", "first_id").join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), "first_id"), "op1-comp")
-    lowest, p_low = store(comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id")), "op1-lowest")
+            labels, p_new = store(relabel(labels, found), "op1-labels")
+            remove(spark, p_labels)
+            p_labels = p_new
+        swept = swept.union(hubs.select("band", F.col("hub").alias("node")))
+        hubs_now *= HUB_GROWTH
+    comp_of = nodes.select("node", "first_id").join(labels, "node")
+    lowest = comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     ids, _ = store(comp_of.join(lowest, "comp").select("node", "comp", "component_id"), "op1-ids")
-    remove(spark, p_nodes, p_comp, p_low, *old)
+    remove(spark, p_nodes, p_labels, *old)
     out = all_rows.select("doc_id", "th", "n", "node").join(ids, "node", "left")
     cid = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"), F.col("comp").alias("node_component"), "th")
