@@ -6,7 +6,8 @@ nearest direction whatever the lengths. A tree's rows of one first digit form a
 sorted array of strings and split into parts of bounded size. A query descends by binary search to
 its longest prefixes; all trees then ascend together, digit by digit, until they hold enough
 candidates. If even the first digits give too few, the query is compared with every row, in
-blocks. Candidates are ranked on 8-bit codes; the best go to exact inner products.
+blocks. Candidates are ranked on 8-bit codes; the best go to exact inner products. Trees are ranked in
+a few steps: later trees give only what may still enter a query's best so far.
 """
 
 from functools import lru_cache
@@ -20,6 +21,9 @@ from fareline.llm.common import remove, store
 
 TREES, DIGITS, AXES, BITS = 40, 4, 64, 7
 
+#: Trees after which a query's best so far bounds what the next ones give.
+STEPS = (2, 8, TREES)
+
 #: Candidates, counted once per tree, at which the ascent stops.
 ENOUGH = 8192
 
@@ -116,7 +120,7 @@ KEYS = ["dim", "tree", "cell", "part", "qpart"]
 def _meet(rows: DataFrame, asks: DataFrame, cells: DataFrame, fn, schema: str) -> DataFrame:
     """Bring a cell's rows (rid, dim, tree, cell, s[, code]) and queries together, part by part."""
     data = [c for c in ("s", "rid", "code") if c in rows.columns]
-    extra = [c for c in ("level",) if c in asks.columns]
+    extra = [c for c in ("level", "bound") if c in asks.columns]
     r = rows.join(F.broadcast(cells), ["dim", "tree", "cell"]).withColumn("part", F.pmod(F.xxhash64("rid"), F.col("parts"))).withColumn("qpart", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qparts") - 1)))
     q = asks.join(F.broadcast(cells), ["dim", "tree", "cell"]).withColumn("qpart", F.pmod(F.xxhash64("rid"), F.col("qparts"))).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cols = lambda df, kind: df.select(*KEYS, F.lit(kind).alias("kind"), *data, *[F.col(c) if kind else F.lit(0).alias(c) for c in extra])
@@ -145,7 +149,7 @@ def _best(most: int):
     def fn(rows: pa.Table, asks: pa.Table):
         s, ids, c = rows.column("s").to_numpy(), rows.column("rid").to_numpy(), decode(rows.column("code").to_pylist())
         q, who, level = asks.column("s").to_numpy(), asks.column("rid").to_numpy(), asks.column("level").to_numpy()
-        qc = decode(asks.column("code").to_pylist())
+        qc, bound = decode(asks.column("code").to_pylist()), asks.column("bound").to_numpy()
         lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(s), np.int64)
         for x in np.unique(level[level > 0]):
             own = level == x
@@ -163,7 +167,7 @@ def _best(most: int):
                 k = min(most, b - a)
                 top = np.argpartition(-score, k - 1, axis=1)[:, :k]
                 value = np.take_along_axis(score, top, 1)
-                keep = np.isfinite(value)
+                keep = np.isfinite(value) & (value >= bound[part][:, None])
                 out.append((np.repeat(who[part], k)[keep.reshape(-1)], ids[a:b][top][keep], value[keep].astype(np.float64)))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["rid", "cand", "near"])
@@ -171,6 +175,13 @@ def _best(most: int):
     return fn
 
 
+def _bounds(found: DataFrame, most: int) -> DataFrame:
+    """(rid, bound): nearness of a query's `most`-th different candidate so far, where it has as many."""
+    near = found.groupBy("rid", "cand").agg(F.max("near").alias("near"))
+    r = F.row_number().over(Window.partitionBy("rid").orderBy(F.col("near").desc(), "cand"))
+    return near.withColumn("r", r).where(F.col("r") <= most).where(F.col("r") == most).select("rid", F.col("near").alias("bound"))
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, vec) of vectors that are not null, empty or zero and hold finite numbers only."""
     vec = F.col(vec_col).cast("array<double>")
@@ -200,11 +211,18 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     sums = asks.select("rid").distinct().join(counted.groupBy("rid").agg(*[F.sum(n).alias(n) for n in levels]), "rid", "left")
     stop = F.coalesce(*[F.when(F.col(n) >= enough, F.lit(i)) for i, n in reversed(list(enumerate(levels, 1)))], F.lit(0))
     stops, p_stops = store(sums.select("rid", stop.alias("level")), "op8-levels")
-    schema, most = "rid long, cand long, near double", k + SLACK
-    found = _meet(forest, asks.join(stops.where("level > 0"), "rid"), cells, _best(most), schema)
+    schema, most, p_found, found = "rid long, cand long, near double", k + SLACK, [], None
+    climbing = stops.where("level > 0").withColumn("bound", F.lit(float("-inf")))
+    for first, last in zip((0, *STEPS), STEPS):
+        if found is not None:
+            climbing = stops.where("level > 0").join(_bounds(found, most), "rid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
+        own = F.col("tree").between(first, last - 1)
+        step, path = store(_meet(forest.where(own), asks.where(own).join(climbing, "rid"), cells, _best(most), schema), "op8-found")
+        p_found.append(path)
+        found = step if found is None else found.union(step)
     if not stops.where("level = 0").isEmpty():
         one = lambda df: df.where("tree = 0").withColumn("tree", F.lit(-1)).withColumn("cell", F.lit(0))
-        rest, everything = one(asks).join(stops.where("level = 0"), "rid"), one(forest)
+        rest, everything = one(asks).join(stops.where("level = 0").withColumn("bound", F.lit(float("-inf"))), "rid"), one(forest)
         table = count(everything, "p").join(count(rest, "qp"), ["dim", "tree", "cell"]).select("dim", "tree", "cell", parts("p", PART_ROWS), parts("qp", PART_QUERIES))
         found = found.union(_meet(everything, rest, table, _best(most), schema))
     near = found.withColumn("r", F.dense_rank().over(Window.partitionBy("rid").orderBy(F.col("near").desc(), "cand"))).where(F.col("r") <= 2 * most).select("rid", "cand").distinct()
@@ -214,5 +232,5 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     exact = near.join(side("cand", "vec"), "cand").join(side("rid", "query"), "rid").select("rid", "cand", "query_id", "vec_id", score.alias("score"))
     rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "cand"))
     out, _ = store(exact.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "op8-out")
-    remove(spark, p_base, p_forest, p_asks, p_cells, p_stops, p_near)
+    remove(spark, p_base, p_forest, p_asks, p_cells, p_stops, p_near, *p_found)
     return out
