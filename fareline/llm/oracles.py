@@ -76,3 +76,58 @@ z as (select p.*, passes, take - passes * words as rest, sum(size) over (partiti
 select doc_id, size, cast(source_size as bigint) as source_size, target, cast(passes * size + greatest(0, least(hi, rest) - (hi - size)) as bigint) as taken, source from z
 """
 )
+
+
+def _edit_sql() -> str:
+    """The cheapest edits by dynamic programming from the last row, a key of cost and letters each."""
+    step = lambda k, cost, letter: f"lpad(cast(cast(substr({k}, 1, 9) as int) + {cost} as varchar), 9, '0') || '{letter}' || substr({k}, 10)"
+    nexts, keeps = (2, 2, 3, 2), ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+    rows = []
+    for q in range(4):
+        keep = " ".join(f"when ini = '{r}' then {step(f'k{to}', 'more', 'K')}" for r, to in keeps[q].items())
+        rows.append(f"least({step(f'k{q}', 4, 'D')}, case when gone then null {keep} end, case when not gone then {step(f'k{nexts[q]}', '3 + more', 'R')} end) as n{q}")
+    insert = lambda k: step(k, 3, "I")
+    v2, v3 = f"least(n2, {insert('n3')})", f"least(n3, {insert('n2')})"
+    return f"""
+s as (select conv_id, n as i, '000000000' as k0, '000000006II' as k1, '000000003I' as k2, '000000000' as k3 from (select conv_id, count(*) as n from f group by 1)
+      union all
+      select conv_id, i - 1, least(n0, {insert(v2)}), least(n1, {insert(v2)}), {v2}, {v3}
+      from (select s.conv_id, s.i, {", ".join(rows)} from s join f on f.conv_id is not distinct from s.conv_id and f.rn = s.i)),
+"""
+
+
+ORACLES["op12_conversation_repair"] = (
+    r"""
+with recursive c as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as k from conversations),
+m as (select *, xor(4294967295, list_reduce(list_concat([4294967295::bigint], list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::bigint)),
+        lambda x, b: list_reduce(list_concat([xor(x, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) % 20 as hit from c),
+d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+             case when hit = 1 then '' when hit = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(0, case when hit = 3 then 2 else 1 end)) as copy from m where hit <> 0),
+r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(cast(length(role) as varchar) || ':' || role || text)) as rn from d),
+g as (select conv_id, turn, role, text, rn, substr(role, 1, 1) as ini, not regexp_matches(text, '[^ 	-]') as blank,
+             row_number() over (partition by conv_id, role, text order by rn) > 1 as again, not regexp_matches(text, '[.!?][ 	-]*$') as cut,
+             lag(substr(role, 1, 1)) over (partition by conv_id order by rn) as before from r),
+f as (select *, blank or again as gone, case when cut then 3 else 0 end as more from g),
+"""
+    + _edit_sql()
+    + r"""
+a as (select conv_id, cast(substr(k0, 1, 9) as bigint) as cost, substr(k0, 10) as audit from s where i = 0),
+l as (select conv_id, j, substr(audit, j, 1) as letter from (select conv_id, audit, unnest(range(1, length(audit) + 1)) as j from a)),
+e as (select *, sum(case when letter <> 'I' then 1 else 0 end) over w as rn, sum(case when letter <> 'D' then 1 else 0 end) over w as said from l
+      window w as (partition by conv_id order by j)),
+x as (select e.conv_id, j, letter, said, case when letter = 'I' then '' else f.text end as text, f.role, letter = 'K' and f.ini = 's' as sys
+      from e left join f on f.conv_id is not distinct from e.conv_id and f.rn = e.rn and e.letter <> 'I'),
+y as (select *, bool_or(coalesce(sys, false)) over (partition by conv_id) as has_sys from x),
+z as (select conv_id, sha256(string_agg(case when letter = 'K' then role when (said - 1 - cast(has_sys as int)) % 2 = 0 then 'user' else 'assistant' end || ':' || text, chr(10) order by j)) as repaired_sha256
+      from y where letter <> 'D' group by 1),
+n as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where blank) as blank,
+             count(*) filter (where again and not blank) as duplicate, count(*) filter (where cut and not gone) as truncated,
+             count(*) filter (where before is not null and before || ini not in ('su', 'ua', 'au')) as illegal from f group by 1),
+o as (select distinct conv_id from conversations)
+select o.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost, coalesce(audit, '') as audit, coalesce(repaired_sha256, sha256('')) as repaired_sha256
+from o left join n on n.conv_id is not distinct from o.conv_id left join a on a.conv_id is not distinct from o.conv_id left join z on z.conv_id is not distinct from o.conv_id
+"""
+)

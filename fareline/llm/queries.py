@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import ann, chat, decontam, html, linedup, minhash, mixing, pieces, tokens, toxicity, warc
+from fareline.llm import ann, chat, decontam, dialogue, html, linedup, minhash, mixing, pieces, tokens, toxicity, warc
 from fareline.llm.common import store, table
 from fareline.llm.oracles import ORACLES  # noqa: F401
 
@@ -60,4 +60,9 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_decontamination, op3_toxicity, op4_warc, op5_chat_masks, op6_token_files, op7_main_text, op8_nearest, op9_mixing, op10_line_dedup, op11_sentencepiece)}
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations")
+    return dialogue.repaired(dialogue.damage(told), told)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_decontamination, op3_toxicity, op4_warc, op5_chat_masks, op6_token_files, op7_main_text, op8_nearest, op9_mixing, op10_line_dedup, op11_sentencepiece, op12_conversation_repair)}
