@@ -106,8 +106,10 @@ m as (select *, xor(4294967295, list_reduce(list_concat([4294967295::bigint], li
 d as (select conv_id, turn, case when hit = 4 then 'user' else role end as role,
              case when hit = 1 then '' when hit = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(0, case when hit = 3 then 2 else 1 end)) as copy from m where hit <> 0),
 r as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(cast(length(role) as varchar) || ':' || role || text)) as rn from d),
-g as (select conv_id, turn, role, text, rn, substr(role, 1, 1) as ini, not regexp_matches(text, '[^ 	-]') as blank,
-             row_number() over (partition by conv_id, role, text order by rn) > 1 as again, not regexp_matches(text, '[.!?][ 	-]*$') as cut,
+g as (select conv_id, turn, role, text, rn, substr(role, 1, 1) as ini, not regexp_matches(text, '[^ 	-
+]') as blank,
+             row_number() over (partition by conv_id, role, text order by rn) > 1 as again, not regexp_matches(text, '[.!?][ 	-
+]*$') as cut,
              lag(substr(role, 1, 1)) over (partition by conv_id order by rn) as before from r),
 f as (select *, blank or again as gone, case when cut then 3 else 0 end as more from g),
 """
@@ -131,3 +133,31 @@ select o.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0)
 from o left join n on n.conv_id is not distinct from o.conv_id left join a on a.conv_id is not distinct from o.conv_id left join z on z.conv_id is not distinct from o.conv_id
 """
 )
+
+
+def _codebook_sql() -> str:
+    """Two rounds of nearest entries and floored means, then the last assignment."""
+    nearest = """
+a{n} as (select rid, part, min(d * 64 + entry) % 64 as entry, min(d * 64 + entry) // 64 as d from (
+       select x.rid, x.part, c.entry, cast(sum((x.v - c.v) * (x.v - c.v)) as hugeint) as d from x join c{n} c on c.part = x.part and c.pos = x.pos group by all) group by all),"""
+    means = """
+m{n} as (select x.part, a.entry, x.pos, sum(x.v) as s, count(*) as n from x join a{o} a on a.rid = x.rid and a.part = x.part group by all),
+c{n} as (select c.part, c.entry, c.pos, case when m.n is null then c.v else cast((m.s - ((m.s % m.n) + m.n) % m.n) // m.n as bigint) end as v
+       from c{o} c left join m{n} m on m.part = c.part and m.entry = c.entry and m.pos = c.pos),"""
+    return nearest.format(n=0) + means.format(n=1, o=0) + nearest.format(n=1) + means.format(n=2, o=1) + nearest.format(n=2)
+
+
+ORACLES["op13_vector_codes"] = (
+    """
+with k as (select row_number() over (order by vec_id nulls last, embedding) as rid, vec_id, label, embedding, len(embedding) // 16 as w from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0),
+x as (select rid, (p - 1) // w as part, (p - 1) % w as pos, cast(floor(256 * cast(embedding[p] as double)) as bigint) as v from (select *, unnest(range(1, len(embedding) + 1)) as p from k)),
+c0 as (select part, rid - 1 as entry, pos, v from x where rid <= 64),
+"""
+    + _codebook_sql().strip()
+    + """
+h as (select sha256(string_agg(v, ',' order by part, entry, pos)) as codebooks_sha256 from c2),
+r as (select rid, string_agg(printf('%02x', cast(entry as int)), '' order by part) as code, cast(sum(d) as bigint) as error from a2 group by 1)
+select k.vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256 from k join r using (rid) cross join h
+"""
+)

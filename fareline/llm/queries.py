@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm import ann, chat, decontam, dialogue, html, linedup, minhash, mixing, pieces, tokens, toxicity, warc
+from fareline.llm import ann, chat, decontam, dialogue, gnat, html, linedup, minhash, mixing, pieces, tokens, toxicity, warc
 from fareline.llm.common import store, table
 from fareline.llm.oracles import ORACLES  # noqa: F401
 
@@ -65,4 +65,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogue.repaired(dialogue.damage(told), told)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_decontamination, op3_toxicity, op4_warc, op5_chat_masks, op6_token_files, op7_main_text, op8_nearest, op9_mixing, op10_line_dedup, op11_sentencepiece, op12_conversation_repair)}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.compress(table(spark, sf_dir, "embeddings"))
+
+
+_ALL = (
+    op1_minhash_dedup, op2_decontamination, op3_toxicity, op4_warc, op5_chat_masks, op6_token_files, op7_main_text, op8_nearest, op9_mixing, op10_line_dedup,
+    op11_sentencepiece, op12_conversation_repair, op13_vector_codes,
+)
+QUERIES = {f.__name__: f for f in _ALL}
