@@ -5,7 +5,9 @@ token spans by binary search. The template's marks are added tokens, so no token
 edge of a turn; the marks' strings inside a text are escaped reversibly.
 """
 
+import hashlib
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,9 @@ _UNESCAPE = re.compile(r"\\(\\|\|)")
 _TURN = re.compile(re.escape(BEGIN) + "(.*?)" + re.escape(BODY) + "(.*?)" + re.escape(END), re.S)
 LOSS_ROLE = "assistant"
 
+#: Text and token bytes after which formatted conversations leave a task.
+BATCH_BYTES = 4 << 20
+
 
 def escape(text: str) -> str:
     """No mark can occur in the result: a backslash is doubled, "<|" becomes "<\\|"."""
@@ -68,18 +73,14 @@ def masked_texts(formatted: str, starts, ends, mask) -> list[str]:
     return [unescape(formatted[int(starts[a]) : int(np.max(ends[a:b]))]) for a, b in zip(edges[::2], edges[1::2])]
 
 
-_tokenizers: dict = {}
-
-
+@lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    if path not in _tokenizers:
-        from tokenizers import AddedToken, Tokenizer
+    from tokenizers import AddedToken, Tokenizer
 
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-        tok.add_tokens([AddedToken(t, normalized=False) for t in (BEGIN, BODY, END)])
-        _tokenizers[path] = tok
-    return _tokenizers[path]
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    tok.add_tokens([AddedToken(t, normalized=False) for t in (BEGIN, BODY, END)])
+    return tok
 
 
 def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -94,28 +95,37 @@ def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> Data
     kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.int8())]
 
     def run(batches):
-        tok, held, out, last = _tokenizer(path), [], [], None
+        tok, held, out, last, size = _tokenizer(path), [], [], None, 0
 
         def close():
+            nonlocal size
             text, spans = render(held)
             e = tok.encode(text, add_special_tokens=False)
             offs = np.array(e.offsets, np.int32).reshape(-1, 2)
-            out.append((last[0], len(held), text, e.ids, offs[:, 0], offs[:, 1], token_mask(offs[:, 0], offs[:, 1], spans)))
+            out.append((last[0], len(held), text, np.array(e.ids, np.int32), offs[:, 0], offs[:, 1], token_mask(offs[:, 0], offs[:, 1], spans)))
+            size += len(text) + 13 * len(offs)
             held.clear()
 
         def batch_of():
-            b = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+            nonlocal size
+            conv, n, text, *lists = zip(*out)
+            cols = [pa.array(c, t) for c, t in zip((conv, n, text), kinds)]
+            for x, t in zip(lists, kinds[3:]):
+                ends = np.cumsum([0, *map(len, x)]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(x), t.value_type)))
             out.clear()
-            return b
+            size = 0
+            return pa.RecordBatch.from_arrays(cols, names)
 
         for batch in batches:
-            for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if last is not None and last[0] != conv:
-                    close()
-                last = (conv,)
-                held.append((role, text))
-            if len(out) >= 64:
-                yield batch_of()
+            for lo in range(0, batch.num_rows, 512):
+                for conv, role, text in zip(*(batch.column(c).slice(lo, 512).to_pylist() for c in ("conv_id", "role", "text"))):
+                    if last is not None and last[0] != conv:
+                        close()
+                        if size >= BATCH_BYTES:
+                            yield batch_of()
+                    last = (conv,)
+                    held.append((role, text))
         if last is not None:
             close()
             yield batch_of()
@@ -125,15 +135,19 @@ def format_conversations(turns: DataFrame, tokenizer: str | None = None) -> Data
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the stored output says: turns and loss text with their hashes, read back from it."""
-    import hashlib
+    """What the stored output says: turns and loss text with their hashes, read back from it.
+
+    One row per conversation of `format_conversations`, a null conv_id included; conversations of
+    empty texts have the hash of their roles and an empty loss text; an empty table gives an empty one."""
 
     def run(batches):
         for batch in batches:
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(n) for n in ("starts", "ends", "mask"))]
             rows = []
-            for conv, text, s, e, m in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "starts", "ends", "mask"))):
+            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
+                text = batch.column("formatted")[i].as_py()
                 turns = parse(text)
-                loss = "".join(masked_texts(text, s, e, m))
+                loss = "".join(masked_texts(text, *(v[o[i] : o[i + 1]] for o, v in lists)))
                 whole = "".join(f"{r}\n{t}\n" for r, t in turns)
                 sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
                 rows.append((conv, len(turns), sha(whole), len(loss), sha(loss), len(text)))

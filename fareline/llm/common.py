@@ -35,13 +35,13 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word's bytes, remembered. `trim` keeps the memory bounded."""
+    """64-bit hash of a word's bytes, remembered by one task. `trim` keeps the memory bounded."""
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
-    def trim(self, most: int = 1 << 20) -> None:
+    def trim(self, most: int = 1 << 17) -> None:
         if len(self) > most:
             self.clear()
 
@@ -83,13 +83,15 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """mapInArrow for a function from one record batch to a dict of columns (or None)."""
+def arrow_map(df: DataFrame, fn, schema: str, state=None) -> DataFrame:
+    """mapInArrow for a function from one record batch to a dict of columns (or None). With `state`,
+    a task makes one by state() and gives it to the function; it ends with the task."""
     names = [p.split()[0] for p in re.split(r",(?![^<]*>)", schema.replace(", ", ","))]
 
     def run(batches):
+        own = (state(),) if state else ()
         for batch in batches:
-            cols = fn(batch)
+            cols = fn(batch, *own)
             if cols is not None:
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in (cols[n] for n in names)], names)
 

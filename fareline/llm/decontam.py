@@ -26,8 +26,6 @@ RARE_SHARE = 0.0005
 #: 2^22 bits, half a megabyte: the only thing sent to all tasks.
 FILTER_BITS = 22
 
-_hashes = WordHashes()
-
 
 def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64), ((h >> np.uint64(20)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
@@ -49,15 +47,15 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 
 def _seed_rows(items: DataFrame, n: int) -> DataFrame:
-    def run(batch):
+    def run(batch, hashes):
         item, h = [], []
         for i, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-            g = np.unique(grams(_hashes.of(plain_words(text)), n))
+            g = np.unique(grams(hashes.of(plain_words(text)), n))
             item += [i] * len(g)
             h.append(signed(g))
         return {"key": pa.array(item, pa.int64()), "h": pa.array(np.concatenate([*h, np.empty(0, np.int64)]))}
 
-    return arrow_map(items.select("key", "text"), run, "key long, h long")
+    return arrow_map(items.select("key", "text"), run, "key long, h long", WordHashes)
 
 
 def _filter_bits(seeds: DataFrame) -> bytes:
@@ -74,16 +72,16 @@ def _filter_bits(seeds: DataFrame) -> bytes:
 def _passages(docs: DataFrame, bits: bytes, reach: int, lengths: list[int]) -> DataFrame:
     """(doc_id, th, pid, at, text, hits): passages around hits. at: first word's position."""
 
-    def run(batch):
+    def run(batch, hashes):
         table = np.frombuffer(bits, np.uint32)
         has = lambda s: (table[s >> 5] >> (s & 31).astype(np.uint32)) & np.uint32(1)
-        _hashes.trim()
+        hashes.trim()
         out = {c: [] for c in ("row", "pid", "at", "text", "hits")}
         for row, text in enumerate(batch.column("text").to_pylist()):
             words = plain_words(text)
             if not words:
                 continue
-            h = _hashes.of(words)
+            h = hashes.of(words)
             found = []
             for n in lengths:
                 if len(h) < n:
@@ -113,15 +111,15 @@ def _passages(docs: DataFrame, bits: bytes, reach: int, lengths: list[int]) -> D
         }
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return arrow_map(src, run, "doc_id long, th long, pid int, at long, text binary, hits array<bigint>")
+    return arrow_map(src, run, "doc_id long, th long, pid int, at long, text binary, hits array<bigint>", WordHashes)
 
 
 def _scores(pairs: DataFrame) -> DataFrame:
-    def run(batch):
-        _hashes.trim()
+    def run(batch, hashes):
+        hashes.trim()
         score, end, start = [], [], []
         for p, t, at in zip(batch.column("text").to_pylist(), batch.column("item").to_pylist(), batch.column("at").to_pylist()):
-            passage, item = _hashes.of(p.split()), _hashes.of(plain_words(t))
+            passage, item = hashes.of(p.split()), hashes.of(plain_words(t))
             best, stop = align(item, passage)
             score.append(best / (MATCH * len(item)))
             end.append(at + stop)
@@ -129,7 +127,7 @@ def _scores(pairs: DataFrame) -> DataFrame:
         cols = {c: batch.column(c) for c in ("doc_id", "th", "key")}
         return cols | {"score": pa.array(score, pa.float64()), "start_word": pa.array(start, pa.int64()), "end_word": pa.array(end, pa.int64())}
 
-    return arrow_map(pairs.select("doc_id", "th", "key", "text", "item", "at"), run, "doc_id long, th long, key long, score double, start_word long, end_word long")
+    return arrow_map(pairs.select("doc_id", "th", "key", "text", "item", "at"), run, "doc_id long, th long, key long, score double, start_word long, end_word long", WordHashes)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, n: int = SEED_WORDS, threshold: float = THRESHOLD) -> DataFrame:

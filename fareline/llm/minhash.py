@@ -28,12 +28,10 @@ _ORDER = np.random.default_rng(20240229).permutation(BUCKETS)
 #: first rounds have not joined must be compared anyway; more hubs at once only save rounds.
 HUBS, HUB_GROWTH = 64, 8
 
-_hashes = WordHashes()
 
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
+def shingle_set(text: str | None, words: int, hashes: WordHashes | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word runs; empty without words."""
-    return np.unique(grams(_hashes.of(ascii_words(text)), words))
+    return np.unique(grams((WordHashes() if hashes is None else hashes).of(ascii_words(text)), words))
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
@@ -83,11 +81,11 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, th, node, n, regs) per document; node and regs null for an empty set. `th` is the
     text's hash, `node` the set's."""
 
-    def run(batch):
-        _hashes.trim()
+    def run(batch, hashes):
+        hashes.trim()
         node, n, regs = [], [], []
         for text in batch.column("text").to_pylist():
-            s = shingle_set(text, words)
+            s = shingle_set(text, words, hashes)
             n.append(len(s))
             node.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
             regs.append(registers(s).tobytes() if len(s) else None)
@@ -96,7 +94,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "regs": pa.array(regs, pa.binary())}
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return arrow_map(src, run, "doc_id long, th long, node long, n long, regs binary")
+    return arrow_map(src, run, "doc_id long, th long, node long, n long, regs binary", WordHashes)
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -129,17 +127,17 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, shingles) of the wanted nodes, each read from one document (th, did)."""
 
-    def run(batch):
+    def run(batch, hashes):
         import pyarrow as pa
 
-        _hashes.trim()
-        sets = [signed(shingle_set(t, words)) for t in batch.column("text").to_pylist()]
+        hashes.trim()
+        sets = [signed(shingle_set(t, words, hashes)) for t in batch.column("text").to_pylist()]
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         return {"node": batch.column("node"), "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))}
 
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
     src = docs.select(F.xxhash64("text").alias("th"), did.alias("did"), "text").join(wanted, ["th", "did"])
-    return arrow_map(src.select("node", "text"), run, "node long, shingles array<bigint>").dropDuplicates(["node"])
+    return arrow_map(src.select("node", "text"), run, "node long, shingles array<bigint>", WordHashes).dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:

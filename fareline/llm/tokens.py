@@ -21,12 +21,14 @@ from fareline.session import estimated_bytes, scratch
 
 END_ID = 0
 FILE_IDS = 1 << 20
-ROUNDS = 4
 LEAST_COUNT = 16
 _SLOT_BITS = 18
 _MAGIC = b"RPID1\n"
+#: What makes a text need the slow cut: white space that is no lone space or newline, at any place.
 _SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE_SPACES = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_ODD = re.compile("[\0" + _SPACES + _WIDE_SPACES + "]|[ \n][ \n]|\\A[ \n]|[ \n]\\Z")
+_ODD_WORD = re.compile("[\n" + _SPACES + _WIDE_SPACES + "]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -44,17 +46,18 @@ class Encoder:
     So words are encoded once and texts put together from them. Special tokens' strings in a text
     are ordinary text."""
 
-    MOST = 1 << 20
+    MOST = 1 << 19
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.newline = self._plain("\n")
+        self.newline, tails = self._plain("\n"), {c: self._plain(c) for c in ".,"}
+        self.tails = {c: x[0] for c, x in tails.items()}
         pre = json.loads(self.tok.to_str())
         step = pre.get("pre_tokenizer") or {}
-        self.by_word = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and not pre.get("normalizer") and len(self.newline) == 1
+        self.by_word = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and not pre.get("normalizer") and all(len(x) == 1 and x[0] > 0 for x in (self.newline, *tails.values()))
         self.clear()
 
     def _plain(self, text: str) -> list[int]:
@@ -67,8 +70,7 @@ class Encoder:
 
     def words(self, text: str) -> list[str]:
         """Keys of a text's words: with a leading NUL as they are, else after a space."""
-        odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text or text[0] in " \n" or text[-1] in " \n"
-        if odd or any(c in text for c in _SPACES) or not text.isascii() and any(c in text for c in _WIDE_SPACES):
+        if _ODD.search(text):
             if "\0" in text:
                 return ["\0" + text]
             first, *rest = _CUT.split(text)
@@ -76,38 +78,42 @@ class Encoder:
         return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
 
     def _learn(self) -> None:
-        """Encode the words met for the first time."""
+        """Encode the words met for the first time, many in one text with newlines between."""
         new = self.new
         core = [w[:-1] if len(w) > 2 and w[-1] in ".," and w[-2].isalnum() else w for w in new]
-        ask = list(dict.fromkeys(core))
-        text = [w[1:] if w[:1] == "\0" else " " + w for w in ask]
-        plain = [i for i, t in enumerate(text) if "\n" not in t and not any(c in t for c in _SPACES + _WIDE_SPACES) and t not in ("", " ")]
-        got: list = [None] * len(text)
+        index: dict[str, int] = {}
+        which = np.fromiter((index.setdefault(w, len(index)) for w in core), np.int64, len(core))
+        text = [w[1:] if w[:1] == "\0" else " " + w for w in index]
+        odd = [i for i, t in enumerate(text) if t in ("", " ") or _ODD_WORD.search(t)]
+        alone = dict.fromkeys(odd)
+        plain = [i for i in range(len(text)) if i not in alone] if odd else range(len(text))
+        parts, at, n, used = [], np.zeros(len(text), np.int64), np.zeros(len(text), np.int64), 0
         for lo in range(0, len(plain), 4096):
             part = plain[lo : lo + 4096]
-            ids = np.array(self.tok.encode_batch_fast(["\n".join(text[i] for i in part)], add_special_tokens=False)[0].ids, np.uint32)
-            for i, x in zip(part, np.split(ids, np.flatnonzero(ids == self.newline[0]))):
-                got[i] = x if i == part[0] else x[1:]
-        for i, t in enumerate(text):
-            if got[i] is None:
-                got[i] = np.array(self._plain(t), np.uint32)
-        known = dict(zip(ask, got))
-        tail = {c: np.array(self._plain(c), np.uint32) for c in ".,"}
-        parts = []
-        n = np.empty(len(new), np.int32)
-        for k, (w, c) in enumerate(zip(new, core)):
-            x = known[c]
-            parts.append(x)
-            n[k] = len(x)
-            if len(c) < len(w):
-                parts.append(tail[w[-1]])
-                n[k] += len(tail[w[-1]])
-        flat = np.concatenate(parts)
+            ids = np.array(self.tok.encode_batch_fast(["\n".join([text[i] for i in part])], add_special_tokens=False)[0].ids, np.uint32)
+            edge = np.r_[-1, np.flatnonzero(ids == self.newline[0]), len(ids)]
+            at[np.asarray(part)], n[np.asarray(part)] = used + edge[:-1] + 1, np.diff(edge) - 1
+            parts.append(ids)
+            used += len(ids)
+        for i in odd:
+            ids = np.array(self._plain(text[i]), np.uint32)
+            at[i], n[i] = used, len(ids)
+            parts.append(ids)
+            used += len(ids)
+        ids = np.concatenate([*parts, np.zeros(0, np.uint32)])
+        tail = np.fromiter((self.tails.get(w[-1:], 0) if len(c) < len(w) else 0 for w, c in zip(new, core)), np.int64, len(new))
+        short = n[which]
+        count = short + (tail > 0)
+        sums = np.r_[0, np.cumsum(count)]
+        flat = np.zeros(sums[-1], np.uint32)
+        inner = np.arange(short.sum()) - np.repeat(np.r_[0, np.cumsum(short)][:-1], short)
+        flat[np.repeat(sums[:-1], short) + inner] = ids[np.repeat(at[which], short) + inner]
+        flat[sums[1:][tail > 0] - 1] = tail[tail > 0]
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        self.at = np.concatenate([self.at, self.used + np.r_[0, np.cumsum(n[:-1], dtype=np.int64)]])
-        self.n = np.concatenate([self.n, n])
+        self.at = np.concatenate([self.at, self.used + sums[:-1]])
+        self.n = np.concatenate([self.n, count.astype(np.int32)])
         self.used += len(flat)
         new.clear()
 
@@ -144,41 +150,52 @@ class _Index(dict):
         return i
 
 
-def repair(seq: np.ndarray, first_free: int, most_rules: int, rounds: int = ROUNDS, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+def repair(seq: np.ndarray, first_free: int, most_rules: int, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (left, right). Rule k stands for symbol first_free + k. In a round all pairs
-    that occur `least` times or more, most frequent first, are replaced from left to right."""
-    seq, rules = seq.astype(np.uint32), np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
-        room = most_rules - len(rules)
+    that occur `least` times or more, most frequent first, are replaced from left to right; rounds
+    go on until there is none (or `rounds` are over), or until the symbols are used up."""
+    seq, rules = seq.astype(np.uint32), [np.zeros((0, 2), np.uint32)]
+    made = 0
+    for _ in range(len(seq) if rounds is None else rounds):
+        room = most_rules - made
         if len(seq) < 2 or room <= 0:
             break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        key[(seq[:-1] == END_ID) | (seq[1:] == END_ID)] = 0
-        order = np.sort(key)
-        starts = np.flatnonzero(np.r_[True, order[1:] != order[:-1]])
+        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        slot = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        # Only pairs of slots with enough occurrences can be frequent: few keys are sorted.
+        full = np.bincount(slot, minlength=1 << _SLOT_BITS) >= least
+        able = np.flatnonzero(full[slot] & (seq[:-1] != END_ID) & (seq[1:] != END_ID))
+        order = np.sort(key[able])
+        starts = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else np.zeros(0, np.int64)
         counts = np.diff(np.r_[starts, len(order)])
-        often = (counts >= least) & (order[starts] > 0)
+        often = counts >= least
         pairs, counts = order[starts[often]], counts[often]
         pairs = pairs[np.lexsort((pairs, -counts))]
-        slot = lambda k: ((k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        _, lead = np.unique(slot(pairs), return_index=True)
-        pairs = pairs[np.sort(lead)][:room]
+        of_pair = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        _, lead = np.unique(of_pair, return_index=True)
+        lead = np.sort(lead)[:room]
+        pairs, of_pair = pairs[lead], of_pair[lead]
         if not len(pairs):
             break
         table = np.full(1 << _SLOT_BITS, -1, np.int32)
-        table[slot(pairs)] = np.arange(len(pairs))
-        which = table[slot(key)]
-        at = np.flatnonzero(which >= 0)
-        at = at[pairs[which[at]] == key[at]]
+        table[of_pair] = np.arange(len(pairs))
+        which = table[slot[able]]
+        hit = np.flatnonzero(which >= 0)
+        hit = hit[pairs[which[hit]] == key[able[hit]]]
+        at, which = able[hit], which[hit]
         run_start = np.maximum.accumulate(np.where(np.r_[True, np.diff(at) != 1], np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-        used, number = np.unique(which[at], return_inverse=True)
-        seq[at] = first_free + len(rules) + number
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq = seq[keep]
-        rules = np.concatenate([rules, np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)])
-    return seq, rules
+        keep = (np.arange(len(at)) - run_start) % 2 == 0
+        at, which = at[keep], which[keep]
+        used = np.bincount(which, minlength=len(pairs)) > 0
+        number = np.cumsum(used) - 1
+        seq[at] = first_free + made + number[which]
+        stay = np.ones(len(seq), bool)
+        stay[at + 1] = False
+        seq = seq[stay]
+        pairs = pairs[used]
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        made += len(pairs)
+    return seq, np.concatenate(rules)
 
 
 def expansion_lengths(rules: np.ndarray, first_free: int) -> np.ndarray:
@@ -269,7 +286,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_i
         from pyspark import TaskContext
 
         shard, seq, done = TaskContext.get().partitionId(), 0, []
-        enc = _encoder(path)
+        enc = Encoder(path)
         vocab = enc.tok.get_vocab_size(with_added_tokens=True)
         held, ids, lengths = [], [], []
 
@@ -305,15 +322,6 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_i
     return spark.read.schema("name string, shard long, seq long, docs long, ids long, start long").parquet(f"{uri}/manifest")
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 def read_tokens(manifest: DataFrame, uri: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) per document, decoded from the files."""
 

@@ -84,8 +84,11 @@ def window_starts(n: int) -> np.ndarray:
 class Net:
     """Parameters and passes. Per direction: gates z, r and candidate h from input and state."""
 
-    def __init__(self, seed: int = 3):
+    def __init__(self, seed: int = 3, params: dict | None = None):
         self.known: dict[str, np.ndarray] = {}
+        if params is not None:
+            self.p = params
+            return
         rng = np.random.default_rng(seed)
         d, h = WORD_DIM + CHAR_DIM, HIDDEN
         init = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
@@ -261,7 +264,7 @@ class _Rows(dict):
 class Scorer:
     """Scores whole texts; remembers the gates' input of words, up to a bound."""
 
-    MOST = 1 << 18
+    MOST = 1 << 16
 
     def __init__(self, net: Net):
         self.net = net
@@ -309,47 +312,38 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, samp
     return train([r["text"] for r in rows], [r["toxic"] for r in rows], steps)
 
 
-_scorers: dict = {}
+def _scored(s: "Scorer | None", texts) -> np.ndarray:
+    got = [s.score(texts.slice(lo, 512).to_pylist()) for lo in range(0, len(texts), 512)] if s else [np.zeros(len(texts))]
+    return np.concatenate([*got, np.zeros(0)])
 
 
 def score(docs: DataFrame, net: Net | None, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted, th) per document. Null, empty and wordless texts get the
-    score of no evidence; without a net every score is 0."""
-    import uuid
-
-    shared, key = (net.p if net else None), uuid.uuid4().hex
-
-    def run(batch):
-        if key not in _scorers:
-            _scorers.clear()
-            n = Net() if shared else None
-            if n:
-                n.p = shared
-            _scorers[key] = Scorer(n) if n else None
-        s, texts = _scorers[key], batch.column("text")
-        got = [s.score(texts.slice(lo, 512).to_pylist()) for lo in range(0, len(texts), 512)] if s else [np.zeros(len(texts))]
-        return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": pa.array(np.concatenate([*got, np.zeros(0)])), "th": batch.column("th")}
+    score of no evidence; without a net every score is 0. What a task remembers of words ends with it."""
+    shared = net.p if net else None
+
+    def run(batch, s):
+        return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": pa.array(_scored(s, batch.column("text"))), "th": batch.column("th")}
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.xxhash64("text").alias("th"), "text")
-    out = arrow_map(src, run, "doc_id long, held_out boolean, score double, th long")
+    out = arrow_map(src, run, "doc_id long, held_out boolean, score double, th long", lambda: Scorer(Net(params=shared)) if shared else None)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "th")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents scored below the threshold, all columns kept: texts are scored in place."""
+    """The documents scored below the threshold, all columns kept: texts are scored in place.
+
+    Null, empty and wordless texts stay (they score as no evidence), repeated rows get one decision,
+    columns besides doc_id and text may have any name. An empty table, or labels without both kinds,
+    leave everything as it is."""
     net = fit(docs, labels)
     if net is None:
         return docs
-    names = docs.columns
-    shared, key = net.p, repr(net.p["q"]) + "drop"
+    at, shared = docs.columns.index("text"), net.p
 
     def run(batches):
-        n = Net()
-        n.p = shared
-        s = _scorers.setdefault(key, Scorer(n))
+        s = Scorer(Net(params=shared))
         for batch in batches:
-            texts = batch.column(names.index("text"))
-            got = [s.score(texts.slice(lo, 512).to_pylist()) for lo in range(0, len(texts), 512)]
-            yield batch.filter(pa.array(np.concatenate([*got, np.zeros(0)]) < threshold))
+            yield batch.filter(pa.array(_scored(s, batch.column(at)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
