@@ -1,32 +1,46 @@
 """Near-duplicate detection with HyperMinHash sketches.
 
 A text's shingle set is cut into buckets; a bucket keeps only the leading-zero count and ten
-mantissa bits of its smallest hash (16 bits). Empty buckets borrow the next filled one, so short
-texts get full sketches. Bands of compressed registers give candidate groups. Inside a group
-nothing is paired with everything: members meet a hub, and further hubs only as long as members
-of different components have not met one. A pair goes on if the size bound and the
-collision-corrected estimate allow the threshold; then both full sets are compared exactly.
-
-Equal sets are one node from the start, whatever the number of copies.
+mantissa bits of its smallest hash (16 bits). A small set would leave buckets empty, so its registers
+are minima of the whole set under one hash function each; sets of middling size have both kinds, and
+a pair uses the kind that fits its smaller set. Bands of compressed registers give candidate groups,
+whose members meet the group's hub.
+
+What a group's hub has not joined is compared by differences, never member by member. Groups that
+overlap form a cluster; h is the set of the shingles that most of its members have, D(x) the shingles
+in which x differs from h. With t the threshold and q = (1 - t) / (1 + t), x and y are linked exactly
+if |D(x)| + |D(y)| - 2 |D(x) & D(y)| <= q (|x| + |y|). Let a(x) = |D(x)| - q |x|. Pairs with
+a(x) + a(y) <= 0 are linked, and both then to the member of least a: one pair a member. All others
+must share (a(x) + a(y)) / 2 elements of D, so they meet in the rarest elements of D (prefix
+filter). An element shared by many makes a new cluster with an h of its own, of at most half the size.
+
+A candidate pair goes on if the size bound and the collision-corrected estimate allow the threshold;
+then both full sets are compared exactly. Equal sets are one node from the start, whatever the
+number of copies.
 """
 
 import hashlib
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareline.llm.common import WordHashes, arrow_map, ascii_words, components, grams, mix64, remove, signed, store
+from fareline.session import small_side
 
 BANDS, ROWS = 42, 6
 BUCKETS = BANDS * ROWS
 MANTISSA_BITS = 10
 _ORDER = np.random.default_rng(20240229).permutation(BUCKETS)
 
-#: Hubs of one candidate group in the first round, and the growth from round to round. What the
-#: first rounds have not joined must be compared anyway; more hubs at once only save rounds.
-HUBS, HUB_GROWTH = 64, 8
+#: Sets of fewer shingles are sketched as wholes.
+SMALL = 384
+_SEEDS = np.random.default_rng(20240301).integers(1, 1 << 63, BUCKETS, dtype=np.uint64)
+
+#: Members of a rare element's group that are paired directly; larger groups become clusters.
+PAIRED = 16
 
 
 def shingle_set(text: str | None, words: int, hashes: WordHashes | None = None) -> np.ndarray:
@@ -34,23 +48,36 @@ def shingle_set(text: str | None, words: int, hashes: WordHashes | None = None)
     return np.unique(grams((WordHashes() if hashes is None else hashes).of(ascii_words(text)), words))
 
 
+def _compressed(least: np.ndarray) -> np.ndarray:
+    """16-bit registers of 56-bit minima: leading zeros (6 bits), then mantissa bits."""
+    frac, exp = np.frexp(least.astype(np.float64))
+    return np.where(frac > 0, (56 - exp) * 1024 + np.minimum(np.floor((frac - 0.5) * 2048), 1023), 57 * 1024).astype(np.uint16)
+
+
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """One 16-bit register per bucket: leading zeros (6 bits), then mantissa bits."""
+    """One register per bucket of the set; an empty bucket borrows from the next filled one."""
     value = mix64(shingles ^ np.uint64(0xA0761D6478BD642F))
     bucket = (shingles >> np.uint64(20)) % np.uint64(BUCKETS)
     key = np.sort((bucket << np.uint64(56)) | (value >> np.uint64(8)))
     bucket = (key >> np.uint64(56)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    frac, exp = np.frexp((key[first] & np.uint64((1 << 56) - 1)).astype(np.float64))
-    exact = np.where(frac > 0, (56 - exp) * 1024 + np.minimum(np.floor((frac - 0.5) * 2048), 1023), 57 * 1024)
+    exact = _compressed(key[first] & np.uint64((1 << 56) - 1))
     at = np.searchsorted(bucket[first], np.arange(BUCKETS))
-    return exact.astype(np.uint16)[np.where(at == len(first), 0, at)]
+    return exact[np.where(at == len(first), 0, at)]
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """(rows, bands) keys from (rows, buckets) registers; the band number is part of the key."""
+def whole_registers(shingles: np.ndarray) -> np.ndarray:
+    """One register per hash function, each the minimum over the whole set."""
+    x = (shingles[None, :] ^ _SEEDS[:, None]) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return _compressed(x.min(axis=1) >> np.uint64(8))
+
+
+def band_keys(regs: np.ndarray, kind: int = 0) -> np.ndarray:
+    """(rows, bands) keys from (rows, buckets) registers; band number and kind are part of the key."""
     parts = regs[:, _ORDER].reshape(len(regs), BANDS, ROWS).astype(np.uint64)
-    acc = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]) * np.uint64(0xD6E8FEB86659FD93)
+    acc = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) + np.uint64(kind << 32), parts.shape[:2]) * np.uint64(0xD6E8FEB86659FD93)
     for j in range(ROWS):
         acc = mix64(acc * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j] + np.uint64(1))
     return acc
@@ -67,9 +94,10 @@ def expected_collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return n * m / s * total * 2.0**-MANTISSA_BITS
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Collision-corrected Jaccard similarity of register rows."""
-    same, chance = (a == b).mean(axis=1), expected_collisions(n.astype(float), m.astype(float))
+def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, whole: bool = False) -> np.ndarray:
+    """Collision-corrected Jaccard similarity of register rows, bucketed or `whole`."""
+    scale = BUCKETS if whole else 1
+    same, chance = (a == b).mean(axis=1), expected_collisions(scale * n.astype(float), scale * m.astype(float))
     return np.clip((same - chance) / (1 - chance), 0, 1)
 
 
@@ -77,35 +105,43 @@ def margin(threshold: float, sigmas: float = 5.0) -> float:
     return sigmas * math.sqrt(threshold * (1 - threshold) / BUCKETS)
 
 
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, th, node, n, regs) per document; node and regs null for an empty set. `th` is the
-    text's hash, `node` the set's."""
+def sketches(docs: DataFrame, words: int, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, th, node, n, small, regs) per document; node null for an empty set. `th` is the text's
+    hash, `node` the set's; `small` holds whole registers, `regs` bucketed ones, each null where the
+    set's size rules it out."""
+    least, most = SMALL, SMALL / threshold
 
     def run(batch, hashes):
-        hashes.trim()
-        node, n, regs = [], [], []
-        for text in batch.column("text").to_pylist():
-            s = shingle_set(text, words, hashes)
-            n.append(len(s))
-            node.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
-            regs.append(registers(s).tobytes() if len(s) else None)
-        import pyarrow as pa
-
-        return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "regs": pa.array(regs, pa.binary())}
+        rows = {c: [] for c in ("node", "n", "small", "regs")}
+        texts = batch.column("text")
+        for i in range(batch.num_rows):
+            if i % 256 == 0:
+                hashes.trim()
+            s = shingle_set(texts[i].as_py(), words, hashes)
+            rows["n"].append(len(s))
+            rows["node"].append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None)
+            rows["small"].append(whole_registers(s).tobytes() if 0 < len(s) <= most else None)
+            rows["regs"].append(registers(s).tobytes() if len(s) >= least else None)
+        kinds = {"node": pa.int64(), "n": pa.int64(), "small": pa.binary(), "regs": pa.binary()}
+        return {"doc_id": batch.column("doc_id"), "th": batch.column("th")} | {c: pa.array(rows[c], t) for c, t in kinds.items()}
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    return arrow_map(src, run, "doc_id long, th long, node long, n long, regs binary", WordHashes)
+    return arrow_map(src, run, "doc_id long, th long, node long, n long, small binary, regs binary", WordHashes)
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
     def run(batch):
-        import pyarrow as pa
-
-        raw = b"".join(batch.column("regs").to_pylist())
-        keys = signed(np.ascontiguousarray(band_keys(np.frombuffer(raw, np.uint16).reshape(-1, BUCKETS))).reshape(-1))
-        return {"node": batch.column("node"), "n": batch.column("n"), "band": pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32)), pa.array(keys))}
+        rows, keys = [], []
+        for kind, c in enumerate(("small", "regs")):
+            col = batch.column(c)
+            own = np.flatnonzero(np.asarray(col.is_valid()))
+            regs = np.frombuffer(b"".join(col.drop_null().to_pylist()), np.uint16).reshape(-1, BUCKETS)
+            rows.append(np.repeat(own, BANDS))
+            keys.append(np.ascontiguousarray(band_keys(regs, kind)).reshape(-1))
+        rows = pa.array(np.concatenate(rows))
+        return {"band": pa.array(signed(np.concatenate(keys))), "node": batch.column("node").take(rows), "n": batch.column("n").take(rows)}
 
-    return arrow_map(nodes.select("node", "n", "regs"), run, "node long, n long, band array<bigint>").select(F.explode("band").alias("band"), "node", "n")
+    return arrow_map(nodes.select("node", "n", "small", "regs"), run, "band long, node long, n long")
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -113,14 +149,18 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     least = threshold - margin(threshold)
 
     def run(batch):
-        import pyarrow as pa
-
-        regs = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("ra", "rb")]
         n, m = (batch.column(c).to_numpy() for c in ("na", "nb"))
-        keep = pa.array(estimate(*regs, n, m) >= least)
-        return {c: batch.column(c).filter(keep) for c in ("a", "b")}
-
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
+        small = np.minimum(n, m) < SMALL
+        keep = np.zeros(batch.num_rows, bool)
+        for whole, kind in ((True, "s"), (False, "r")):
+            own = np.flatnonzero(small == whole)
+            a, b = (batch.column(f"{kind}{x}").take(pa.array(own)) for x in "ab")
+            both = np.flatnonzero(np.asarray(a.is_valid()) & np.asarray(b.is_valid()))
+            regs = [np.frombuffer(b"".join(x.take(pa.array(both)).to_pylist()), np.uint16).reshape(-1, BUCKETS) for x in (a, b)]
+            keep[own[both]] = estimate(*regs, n[own[both]], m[own[both]], whole) >= least
+        return {c: batch.column(c).filter(pa.array(keep)) for c in ("a", "b")}
+
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("small").alias(f"s{x}"), F.col("regs").alias(f"r{x}"))
     return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
 
 
@@ -128,15 +168,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(node, shingles) of the wanted nodes, each read from one document (th, did)."""
 
     def run(batch, hashes):
-        import pyarrow as pa
-
-        hashes.trim()
-        sets = [signed(shingle_set(t, words, hashes)) for t in batch.column("text").to_pylist()]
+        sets, texts = [], batch.column("text")
+        for i in range(batch.num_rows):
+            if i % 256 == 0:
+                hashes.trim()
+            sets.append(signed(shingle_set(texts[i].as_py(), words, hashes)))
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         return {"node": batch.column("node"), "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))}
 
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    src = docs.select(F.xxhash64("text").alias("th"), did.alias("did"), "text").join(wanted, ["th", "did"])
+    src = docs.select(F.xxhash64("text").alias("th"), did.alias("did"), "text").join(small_side(wanted), ["th", "did"])
     return arrow_map(src.select("node", "text"), run, "node long, shingles array<bigint>", WordHashes).dropDuplicates(["node"])
 
 
@@ -147,6 +188,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
     return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= round(100 * threshold) * union).select("a", "b")
 
 
+def _fits(x, y, threshold: float):
+    return 100 * F.least(x, y) >= round(100 * threshold) * F.greatest(x, y)
+
+
+def _by_differences(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Of cluster members (cluster, node, n, comp, shingles): pairs (a, b) of different components that
+    may be linked, and the rows (cluster, size, e, node) of prefix elements that many share; last the
+    paths of stored steps."""
+    plus, minus = 100 + round(100 * threshold), 100 - round(100 * threshold)
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    often = members.select("cluster", F.explode("shingles").alias("e")).groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("f"))
+    common = often.where("f > 1").join(sizes, "cluster").where("2 * f > size").groupBy("cluster").agg(F.collect_list("e").alias("h"))
+    none = F.array().cast("array<bigint>")
+    h = F.coalesce("h", none)
+    differ = F.concat(F.array_except("shingles", h), F.array_except(h, "shingles"))
+    apart = members.join(sizes, "cluster").join(common, "cluster", "left").select("cluster", "size", "node", "n", "comp", differ.alias("d"))
+    apart, p1 = store(apart.withColumn("a", plus * F.size("d") - minus * F.col("n")), "op1-apart")
+    least = apart.groupBy("cluster").agg(F.min(F.struct("a", "node", "n", "comp")).alias("m"))
+    met = apart.join(least, "cluster").withColumn("sum", F.col("a") + F.col("m.a"))
+    near = met.where((F.col("sum") <= 0) & (F.col("comp") != F.col("m.comp"))).select(F.col("node").alias("a"), F.col("m.node").alias("b"))
+    shared = F.greatest(F.lit(1), F.ceil(F.col("sum") / (2 * plus)))
+    open_ = met.withColumn("length", F.size("d") - shared + 1).where("length > 0").select("cluster", "size", "node", "n", "comp", "length", F.size("d").alias("all"), F.explode("d").alias("e"))
+    again = apart.select("cluster", F.explode("d").alias("e")).groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    own = Window.partitionBy("cluster", "node")
+    ranked = open_.join(again, ["cluster", "e"]).withColumn("rank", F.row_number().over(own.orderBy("f", "e"))).withColumn("many", F.count(F.lit(1)).over(own))
+    prefix, p2 = store(ranked.where("all - many + rank <= length").select("cluster", "size", "e", "node", "n", "comp"), "op1-prefix")
+    groups = prefix.groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    few = prefix.join(groups.where(f"c <= {PAIRED}").select("cluster", "e"), ["cluster", "e"])
+    side = lambda x: few.select("cluster", "e", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"))
+    rare = side("a").join(side("b"), ["cluster", "e"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb"), threshold)).select("a", "b")
+    hot = prefix.join(groups.where(f"c > {PAIRED}").select("cluster", "e"), ["cluster", "e"]).select("cluster", "size", "e", "node")
+    return near.union(rare), hot, [p1, p2]
+
+
+def _parted(hot: DataFrame) -> DataFrame:
+    """(cluster, node): clusters of the members that share frequent elements. Connected members stay
+    together if they are at most half of the old cluster; else each element makes a cluster, which
+    at most half of the old one can have. So clusters halve with every round."""
+    rows, p1 = store(hot.withColumn("u", F.xxhash64("cluster", "node")), "op1-hot")
+    first = rows.groupBy("cluster", "e").agg(F.min("u").alias("v"))
+    linked = components(rows.join(first, ["cluster", "e"]).select(F.col("u").alias("a"), F.col("v").alias("b")), "op1-parts")
+    whole = rows.join(linked.withColumnRenamed("node", "u"), "u")
+    sizes = whole.groupBy("comp").agg(F.count_distinct("u").alias("part"))
+    parts = whole.join(sizes, "comp").select(F.when(2 * F.col("part") <= F.col("size"), F.xxhash64("cluster", "comp")).otherwise(F.xxhash64("cluster", F.lit("e"), "e")).alias("cluster"), "node")
+    out, _ = store(parts.distinct(), "op1-clusters")
+    remove(hot.sparkSession, p1)
+    return out
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, node_component, th) per document.
 
@@ -155,61 +245,64 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     wordless text has an empty set and no link. A null doc_id takes part; a component of only
     null ids has a null component_id and counts as kept. Repeated rows are one node."""
     spark = docs.sparkSession
-    all_rows, _ = store(sketches(docs, words), "op1-sketches")
+    all_rows, _ = store(sketches(docs, words, threshold), "op1-sketches")
     did = F.coalesce("doc_id", F.lit(-(1 << 62)))
     nodes, p_nodes = store(
-        all_rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("regs").alias("regs"), F.min("doc_id").alias("first_id"), F.min(F.struct("th", did.alias("did"))).alias("src")),
+        all_rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("small").alias("small"), F.first("regs").alias("regs"), F.min("doc_id").alias("first_id"), F.min(F.struct("th", did.alias("did"))).alias("src")),
         "op1-nodes",
     )
     keyed, p_keyed = store(_bands(nodes), "op1-bands")
-    hot = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("h")).where("c > 1")
-    groups, p_groups = store(keyed.join(hot.select("band", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n")), "band"), "op1-members")
+    hubs = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("node", "n")).alias("h")).where("c > 1")
+    groups, p_groups = store(keyed.join(hubs.select("band", "c", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n")), "band"), "op1-members")
     remove(spark, p_keyed)
-    old = [p_groups]
-    fits = lambda x, y: 100 * F.least(x, y) >= round(100 * threshold) * F.greatest(x, y)
+    wanted, p_wanted = store(nodes.join(groups.select("node").distinct(), "node", "left_semi").select("node", "src.th", "src.did"), "op1-wanted")
+    sets, p_sets = store(_sets(docs, wanted, words), "op1-sets")
+    old = [p_groups, p_wanted, p_sets]
 
     def links(pairs: DataFrame) -> DataFrame:
         pairs, p1 = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "op1-pairs")
         likely, p2 = store(_likely(pairs, nodes, threshold), "op1-likely")
-        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-        sets, p3 = store(_sets(docs, wanted.join(nodes, "node").select("node", "src.th", "src.did"), words), "op1-sets")
-        found, p4 = store(_confirmed(likely, sets, threshold), "op1-links")
-        remove(spark, p1, p2, p3)
-        old.append(p4)
+        found, p3 = store(_confirmed(likely, sets, threshold), "op1-links")
+        remove(spark, p1, p2)
+        old.append(p3)
         return found
 
     def relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
         comp = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
         merged = found.join(comp("a"), "a").join(comp("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         joined = components(merged).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-        return labels.join(joined, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
-
-    found = links(groups.where(fits("n", "hub_n")).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    labels, p_labels = store(relabel(nodes.select("node", F.col("node").alias("comp")), found), "op1-labels")
-    swept, hubs_now = groups.where("node = hub").select("band", "node"), HUBS
+        new, path = store(labels.join(joined, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "op1-labels")
+        old.append(path)
+        return new
+
+    found = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    labels = relabel(nodes.select("node", F.col("node").alias("comp")), found)
+    # Groups of two are done; so are those that the hub has joined.
+    several = groups.where("c > 2").select("band", "hub", "node").join(labels, "node")
+    undone = several.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+    clusters = components(several.join(undone, "band", "left_semi").select(F.col("node").alias("a"), F.col("hub").alias("b"))).select(F.col("comp").alias("cluster"), "node")
     while True:
-        live = groups.select("band", "node", "n").join(labels, "node").join(swept.withColumn("done", F.lit(True)), ["band", "node"], "left")
-        live, p_live = store(live, "op1-live")
-        undone = live.where("done is null")
-        largest = undone.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("band").agg(F.count(F.lit(1)).alias("open"), F.max(F.struct("c", "comp")).alias("top")).where("open > 1")
-        # One order of the nodes for all bands: a pair that shares bands is compared in one round.
-        turn = F.xxhash64("node")
-        chosen = undone.join(largest, "band").where("comp <> top.comp").groupBy("band", F.pmod(turn, F.lit(hubs_now)).alias("salt")).agg(F.min(F.struct(turn.alias("turn"), "node", "n", "comp")).alias("h"))
-        hubs, p_hubs = store(chosen.select("band", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.comp").alias("hub_comp")), "op1-hubs")
-        old += [p_live, p_hubs]
-        if hubs.isEmpty():
+        here = clusters.join(labels, "node")
+        mixed = here.groupBy("cluster").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+        members = here.join(mixed, "cluster", "left_semi").join(nodes.select("node", "n"), "node").join(sets, "node")
+        members, p_members = store(members.select("cluster", "node", "n", "comp", "shingles"), "op1-cluster-sets")
+        if members.isEmpty():
+            old.append(p_members)
             break
-        found = links(live.join(hubs, "band").where((F.col("comp") != F.col("hub_comp")) & fits("n", "hub_n")).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        pairs, hot, paths = _by_differences(members, threshold)
+        found = links(pairs)
         if not found.isEmpty():
-            labels, p_new = store(relabel(labels, found), "op1-labels")
-            remove(spark, p_labels)
-            p_labels = p_new
-        swept = swept.union(hubs.select("band", F.col("hub").alias("node")))
-        hubs_now *= HUB_GROWTH
+            labels = relabel(labels, found)
+        more = not hot.isEmpty()
+        if more:
+            clusters = _parted(hot)
+        remove(spark, p_members, *paths)
+        if not more:
+            break
     comp_of = nodes.select("node", "first_id").join(labels, "node")
     lowest = comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     ids, _ = store(comp_of.join(lowest, "comp").select("node", "comp", "component_id"), "op1-ids")
-    remove(spark, p_nodes, p_labels, *old)
+    remove(spark, p_nodes, *old)
     out = all_rows.select("doc_id", "th", "n", "node").join(ids, "node", "left")
     cid = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), cid.alias("component_id"), F.col("doc_id").eqNullSafe(cid).alias("kept"), F.col("comp").alias("node_component"), "th")
