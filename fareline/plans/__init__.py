@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = (
-    "kpi_queries", "meter_queries", "spatial_queries", "route_queries", "live_queries",
+    "kpi_queries", "meter_queries", "spatial_queries", "polygon_queries", "route_queries", "live_queries",
     "forecast_queries", "synth_queries", "source_queries", "stream_queries",
 )
 
