@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.session import scratch
+from fareline.session import scratch, small_side
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -107,20 +107,21 @@ def count_and_check(df: DataFrame, *cols: str) -> tuple[int, int]:
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, comp): smallest node reachable, for every node of an edge table (a, b).
 
-    Alternating large-star and small-star rounds; each is written to the shared folder, the one
-    before is removed. Ends when a round changes nothing."""
+    A round links every node with the least node among its neighbours and itself, and all its
+    neighbours with that node too, instead of with each other. Neighbours are never gathered. The
+    rounds are written to the shared folder, the one before is removed. When all edges lead to a
+    least node of its own, nothing changes any more: each node's edge then names its component."""
     spark = edges.sparkSession
     cur, path = store(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
     seen = count_and_check(cur, "u", "v")
     while seen[0]:
         both = cur.union(cur.select("v", "u"))
         low = both.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        big, p1 = store(both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), label)
-        low = big.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-        hooked = big.join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new, p2 = store(low.select(F.col("k").alias("u"), F.col("m").alias("v")).union(hooked).where("u <> v").distinct(), label)
-        remove(spark, path, p1)
-        cur, path, now = new, p2, count_and_check(new, "u", "v")
+        ends = F.explode(F.array("u", "v")).alias("w")
+        star = both.join(small_side(low), F.col("u") == F.col("k")).select(ends, "m").where("w <> m")
+        new, p = store(star.select(F.greatest("w", "m").alias("u"), F.least("w", "m").alias("v")).distinct(), label)
+        remove(spark, path)
+        cur, path, now = new, p, count_and_check(new, "u", "v")
         if now == seen:
             break
         seen = now

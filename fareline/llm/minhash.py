@@ -160,8 +160,15 @@ def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
             keep[own[both]] = estimate(*regs, n[own[both]], m[own[both]], whole) >= least
         return {c: batch.column(c).filter(pa.array(keep)) for c in ("a", "b")}
 
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("small").alias(f"s{x}"), F.col("regs").alias(f"r{x}"))
-    return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
+    return arrow_map(_both(pairs, nodes, {"n": "n", "small": "s", "regs": "r"}), run, "a long, b long")
+
+
+def _both(pairs: DataFrame, rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Pairs (a, b) with columns of the rows of both nodes. Few pairs go to the rows, each side by
+    itself, and only what was found is shuffled; many are joined by node."""
+    few = small_side(pairs)
+    side = lambda x: rows.select(F.col("node").alias(x), *(F.col(c).alias(f"{k}{x}") for c, k in columns.items()))
+    return side("a").join(few, "a").join(side("b").join(few, "b"), ["a", "b"])
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -182,10 +189,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= round(100 * threshold) * union).select("a", "b")
+    return _both(pairs, sets, {"shingles": "s"}).where(100 * both >= round(100 * threshold) * union).select("a", "b")
 
 
 def _fits(x, y, threshold: float):
@@ -268,15 +274,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         return found
 
     def relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
-        comp = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
-        merged = found.join(comp("a"), "a").join(comp("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        joined = components(merged).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-        new, path = store(labels.join(joined, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "op1-labels")
+        """Nodes take the least label of those they are linked with: equal labels mean connected. The
+        converse is left to the end; until then it would only save comparisons."""
+        ends = found.union(found.select("b", "a")).join(labels.select(F.col("node").alias("b"), "comp"), "b")
+        low = ends.groupBy("a").agg(F.min("comp").alias("low"))
+        new, path = store(labels.join(small_side(low), F.col("node") == F.col("a"), "left").select("node", F.least("comp", "low").alias("comp")), "op1-labels")
         old.append(path)
         return new
 
-    found = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    labels = relabel(nodes.select("node", F.col("node").alias("comp")), found)
+    every = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    # A hub is the least node of its group, so nodes of one hub get one label.
+    labels = relabel(nodes.select("node", F.col("node").alias("comp")), every)
     # Groups of two are done; so are those that the hub has joined.
     several = groups.where("c > 2").select("band", "hub", "node").join(labels, "node")
     undone = several.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
@@ -284,21 +292,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     while True:
         here = clusters.join(labels, "node")
         mixed = here.groupBy("cluster").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        members = here.join(mixed, "cluster", "left_semi").join(nodes.select("node", "n"), "node").join(sets, "node")
-        members, p_members = store(members.select("cluster", "node", "n", "comp", "shingles"), "op1-cluster-sets")
+        members = here.join(mixed, "cluster", "left_semi").join(nodes.select("node", "n"), "node")
+        members, p_members = store(sets.join(small_side(members), "node").select("cluster", "node", "n", "comp", "shingles"), "op1-cluster-sets")
         if members.isEmpty():
             old.append(p_members)
             break
         pairs, hot, paths = _by_differences(members, threshold)
         found = links(pairs)
-        if not found.isEmpty():
-            labels = relabel(labels, found)
-        more = not hot.isEmpty()
-        if more:
-            clusters = _parted(hot)
-        remove(spark, p_members, *paths)
-        if not more:
+        every = every.union(found)
+        if hot.isEmpty():
+            remove(spark, p_members, *paths)
             break
+        labels = relabel(labels, found)
+        clusters = _parted(hot)
+        remove(spark, p_members, *paths)
+    linked = components(every).select("node", F.col("comp").alias("to"))
+    labels, p_final = store(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("to", "node").alias("comp")), "op1-labels")
+    old.append(p_final)
     comp_of = nodes.select("node", "first_id").join(labels, "node")
     lowest = comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     ids, _ = store(comp_of.join(lowest, "comp").select("node", "comp", "component_id"), "op1-ids")
