@@ -122,48 +122,41 @@ def running_max_before(df: DataFrame, key: str, value: str, order: list[str], bu
     )
 
 
-def percentiles(df: DataFrame, value: str, points: list[float], by: list[str] | None = None, band: float = 2e-4) -> DataFrame:
-    """Exact linear-interpolated percentiles, long form (by..., p, value), for any value domain.
-
-    The built-in exact percentile keeps every distinct value of a group in one task. Here a sketch
-    gives a narrow value band around each wanted rank, one pass counts rows per band, and only the
-    bands that hold a wanted rank are expanded to value counts (equal values are one counted row).
-    The counts are exact, so a sketch that is off costs time, never the result. Band borders and the
-    list of wanted bands are materialised: they are a few rows per group, and the written size is
-    what decides whether they are broadcast.
-    """
+def ordered_counts(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """(by..., value, n, before, total) per distinct value: its rows, the group's rows with smaller
+    values, and all of the group's rows. Null values do not count.
+
+    Equal values are one counted row before anything is shuffled by value, so a value that most rows
+    have is no hot spot. The counts are range-partitioned and written with their partition's number;
+    the partitions' totals, one row each, give the offsets that are joined back. No task sees more
+    of a group than a partition's part of its distinct values."""
     from fareline.session import cut_lineage, small_side
 
     by = by or []
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
-    grid = sorted({x for p in points for x in (max(0.0, p - band), min(1.0, p + band))})
-    borders = cut_lineage(rows.groupBy(*by).agg(
-        F.array_distinct(F.percentile_approx("_v", grid, int(4 / band))).alias("_edges"), F.count("*").alias("_total")), "borders")
-    if by:
-        placed = rows.join(small_side(borders), by)
-    else:
-        placed = rows.withColumn("_edges", borders.select("_edges").scalar()).withColumn("_total", borders.select("_total").scalar())
-    placed = placed.withColumn("_cell", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).select(*by, "_v", "_total", "_cell")
-
-    before = lambda part, order: F.coalesce(
-        F.sum("_n").over(Window.partitionBy(*(part or [F.lit(0)])).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = placed.groupBy(*by, "_cell", "_total").agg(F.count("*").alias("_n")).withColumn("_below", before(by, "_cell"))
-    want = counts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in points]))).withColumn("_pos", F.col("p") * (F.col("_total") - 1))
-    inside = lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_n"))
-    want = want.where(inside(F.floor("_pos")) | inside(F.ceil("_pos")))
-    cells = cut_lineage(want.groupBy(*by, "_cell", "_below").agg(F.collect_set(F.struct("p", "_pos")).alias("_wants")), "bands")
-
-    values = (
-        placed.join(small_side(cells), [*by, "_cell"])
-        .groupBy(*by, "_cell", "_below", "_wants", "_v").agg(F.count("*").alias("_n"))
-        .withColumn("_from", F.col("_below") + before([*by, "_cell"], "_v"))
-        .select(*by, "_v", "_n", "_from", F.explode("_wants").alias("w"))
-        .select(*by, "_v", "_n", "_from", "w.p", "w._pos")
-    )
-    at = lambda r: F.max(F.when((r >= F.col("_from")) & (r < F.col("_from") + F.col("_n")), F.col("_v")))
-    picked = values.groupBy(*by, "p", "_pos").agg(at(F.floor("_pos")).alias("_a"), at(F.ceil("_pos")).alias("_z"))
-    out = picked.withColumn("value", F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("_pos") - F.floor("_pos")))
-    return out.select(*by, "p", "value")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    placed = cut_lineage(counts.repartitionByRange(*by, "value").withColumn("_part", F.spark_partition_id()), "ordered")
+    parts = placed.groupBy(*by, "_part").agg(F.sum("n").alias("_n"))
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    off = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = cut_lineage(parts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_at"), off.alias("_off"), F.sum("_n").over(group).alias("total")), "offsets")
+    same = F.col("_part") == F.col("_at")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    inner = F.sum("n").over(Window.partitionBy(*by, "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
+    return placed.withColumn("_in", F.coalesce(inner, F.lit(0))).join(small_side(offsets), same).select(*by, "value", "n", (F.col("_off") + F.col("_in")).alias("before"), "total")
+
+
+def percentiles(df: DataFrame, value: str, points: list[float], by: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated percentiles, long form (by..., p, value), for any value domain: the
+    counted values that hold the wanted ranks, from one scan and one distributed prefix sum."""
+    by = by or []
+    values = ordered_counts(df.select(*by, F.col(value).cast("double").alias("_v")), "_v", by)
+    want = values.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in points]))).withColumn("_pos", F.col("p") * (F.col("total") - 1))
+    holds = lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n"))
+    at = lambda r: F.max(F.when(holds(r), F.col("value")))
+    low, high = F.floor("_pos"), F.ceil("_pos")
+    picked = want.where(holds(low) | holds(high)).groupBy(*by, "p", "_pos").agg(at(low).alias("_a"), at(high).alias("_z"))
+    return picked.select(*by, "p", (F.col("_a") + (F.col("_z") - F.col("_a")) * (F.col("_pos") - F.floor("_pos"))).alias("value"))
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:

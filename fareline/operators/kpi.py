@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareline.operators import common
+
 ZONE = ("origin_zone", "origin_zone_name")
 
 
@@ -132,10 +134,9 @@ def histogram(df: DataFrame, value: str, width: float, cap: float) -> DataFrame:
 
 
 def cdf(df: DataFrame, value: str, cap: float) -> DataFrame:
-    """Empirical CDF over distinct capped values: counts first, running sum over the counts."""
-    per = df.groupBy(F.least(F.col(value).cast("double"), F.lit(float(cap))).alias("value")).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(F.lit(0)).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return per.withColumn("cdf", F.sum("n").over(w) / per.agg(F.sum("n")).scalar())
+    """Empirical CDF over distinct capped values, by a distributed running sum of their counts."""
+    capped = df.select(F.least(F.col(value).cast("double"), F.lit(float(cap))).alias("_v"))
+    return common.ordered_counts(capped, "_v").select("value", "n", ((F.col("before") + F.col("n")) / F.col("total")).alias("cdf"))
 
 
 def zone_in_out(df: DataFrame, zones: DataFrame) -> DataFrame:

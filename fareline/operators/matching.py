@@ -22,7 +22,14 @@ from fareline.functions import geo, pricing
 from fareline.operators.common import enrich
 
 RADIX = 4
-LEVELS = 8  # 4**8 ms covers the 60 s lifetime
+
+
+def levels(ttl_s: int) -> int:
+    """Levels of time blocks for that lifetime: no availability holds a block of the level beyond."""
+    n = 1
+    while RADIX**n <= ttl_s * 1000:
+        n += 1
+    return n
 
 
 def available(pings: DataFrame) -> DataFrame:
@@ -61,11 +68,11 @@ def intervals(pings: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
         "zone_id", "taxi_id", "t0", "t1", pricing.is_idle(F.col("speed_kmh")).alias("idle"))
 
 
-def aligned_blocks(t0: Column, t1: Column) -> Column:
+def aligned_blocks(t0: Column, t1: Column, ttl_s: int = K.VEHICLE_TTL_S) -> Column:
     """Aligned blocks (level, block) that tile [t0, t1). Each level takes the blocks left and right of
     the part that the next coarser level can tile, as in a segment tree of fan-out ``RADIX``."""
     parts = []
-    for level in range(LEVELS):
+    for level in range(levels(ttl_s)):
         size = float(RADIX**level)
         lo, hi = F.ceil(t0 / size).cast("long"), F.floor(t1 / size).cast("long")
         left_end = F.least(F.ceil(lo / float(RADIX)).cast("long") * RADIX, hi)
@@ -80,21 +87,21 @@ def _at_level(cells: Column, level: int) -> Column:
     return F.transform(cells, lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
 
 
-def block_pool(live: DataFrame) -> DataFrame:
+def block_pool(live: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
     """Best vehicle and vehicle count per (zone, level, block). ``t0`` of the chosen availability
     rides along so that a match can name the ping it uses."""
     return (
-        live.select("zone_id", "taxi_id", "idle", "t0", F.explode(aligned_blocks(F.col("t0"), F.col("t1"))).alias("b"))
+        live.select("zone_id", "taxi_id", "idle", "t0", F.explode(aligned_blocks(F.col("t0"), F.col("t1"), ttl_s)).alias("b"))
         .groupBy("zone_id", F.col("b.level").alias("level"), F.col("b.block").alias("block"))
         .agg(F.min(F.struct("idle", "taxi_id", "t0")).alias("best"), F.count("*").alias("vehicles"))
     )
 
 
-def best_in_zone(asked: DataFrame, pool: DataFrame) -> DataFrame:
+def best_in_zone(asked: DataFrame, pool: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
     """Per asked (trip, zone): vehicles available at the instant and the best one (null if none)."""
     t = millis("event_time")
     ancestors = F.transform(
-        F.sequence(F.lit(0), F.lit(LEVELS - 1)),
+        F.sequence(F.lit(0), F.lit(levels(ttl_s) - 1)),
         lambda l: F.struct(l.alias("level"), F.floor(t / F.pow(F.lit(float(RADIX)), l)).cast("long").alias("block")),
     )
     keys = ["trip_id", "zone_id"]
@@ -103,10 +110,11 @@ def best_in_zone(asked: DataFrame, pool: DataFrame) -> DataFrame:
     return asked.join(hit, keys, "left").withColumn("candidates", F.coalesce("candidates", F.lit(0)))
 
 
-def match_candidates(requests: DataFrame, pings: DataFrame, zones: DataFrame) -> DataFrame:
-    """Outcome per (trip, zone asked): available vehicles, best vehicle, distance and score."""
+def match_candidates(requests: DataFrame, pings: DataFrame, zones: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
+    """Outcome per (trip, zone asked): available vehicles, best vehicle, distance and score. A ping
+    makes its vehicle available for ``ttl_s`` seconds, or until the vehicle's next ping in the zone."""
     asked = fan_out(requests, zones)
-    found = best_in_zone(asked, block_pool(intervals(available(pings))))
+    found = best_in_zone(asked, block_pool(intervals(available(pings), ttl_s), ttl_s), ttl_s)
     center = zones.select("zone_id", F.col("centroid_lat").alias("v_lat"), F.col("centroid_lon").alias("v_lon"))
     km = geo.haversine_km(F.col("origin_lat"), F.col("origin_lon"), F.col("v_lat"), F.col("v_lon"))
     return enrich(found, center, "zone_id").select(

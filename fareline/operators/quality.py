@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fareline import constants as K
 from fareline.functions import geo
+from fareline.operators import common
 from fareline.operators.spatial import assign_box_zone
 
 
@@ -114,11 +115,10 @@ def best_bands(scored: DataFrame, max_clamp: float = 15.0, min_band: float = 8.0
 
 def sla_metrics(events: DataFrame, as_of: Column, ts: str = "event_time", seen: str = "arrival") -> DataFrame:
     """Age of the newest event, row count and P95 delivery delay (whole milliseconds)."""
-    delay = F.round((F.unix_micros(seen) - F.unix_micros(ts)) / 1000).cast("long")
-    return events.groupBy("kind").agg(
-        F.count("*").alias("n_rows"), F.max(ts).alias("newest"),
-        F.percentile(delay, F.lit(0.95)).alias("p95_delay_ms"),
-    ).withColumn("age_s", F.unix_timestamp(as_of) - F.unix_timestamp("newest"))
+    late = events.select("kind", ts, F.round((F.unix_micros(seen) - F.unix_micros(ts)) / 1000).cast("long").alias("_ms"))
+    basic = late.groupBy("kind").agg(F.count("*").alias("n_rows"), F.max(ts).alias("newest")).withColumn("age_s", F.unix_timestamp(as_of) - F.unix_timestamp("newest"))
+    p95 = common.percentiles(late, "_ms", [0.95], ["kind"]).select(F.col("kind").alias("_k"), F.col("value").alias("p95_delay_ms"))
+    return basic.join(p95, F.col("kind").eqNullSafe(F.col("_k")), "left").select("kind", "n_rows", "newest", "p95_delay_ms", "age_s")
 
 
 def match_rate(matches: DataFrame) -> DataFrame:

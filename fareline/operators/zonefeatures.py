@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from fareline import constants as K
 from fareline.functions import geo
+from fareline.operators import common
 from fareline.operators.spatial import point_in_polygon
+from fareline.session import cut_lineage, small_side
 
 def _all():
     """One group over a zone-sized frame."""
@@ -112,11 +114,9 @@ def cell_density(points: DataFrame, grid: DataFrame) -> DataFrame:
     rank of visits. The rank comes from counts per visit value, not from sorting all cells."""
     per = points.groupBy("cell").agg(F.count("*").alias("visits"), F.count_distinct("trip_id").alias("trips"))
     full = grid.select("cell").join(per, "cell", "left").fillna(0, ["visits", "trips"])
-    mult = full.groupBy("visits").agg(F.count("*").alias("m"))
-    before = F.coalesce(F.sum("m").over(_all().orderBy("visits").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rank = mult.withColumn("density_rank", (before + (F.col("m") + 1) / 2) / F.sum("m").over(_all())).select("visits", "density_rank")
-    # one row per distinct visit count, so never more rows than the grid has cells
-    return full.join(F.broadcast(rank), "visits").select(
+    ranks = common.ordered_counts(full, "visits").select(F.col("value").alias("visits"), ((F.col("before") + (F.col("n") + 1) / 2) / F.col("total")).alias("density_rank"))
+    rank = cut_lineage(ranks, "density-ranks")
+    return full.join(small_side(rank), "visits").select(
         "cell", "visits", "trips", (F.col("visits") * K.POINT_STEP_S).alias("dwell_s"), "density_rank")
 
 

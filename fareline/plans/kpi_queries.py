@@ -188,12 +188,21 @@ def zones_seen(spark, sf):
     return kpi.zones_seen(views.curated(spark, sf))
 
 
-@query("zones_no_outbound", sql(f"""SELECT cell, zone_id FROM cellmap WHERE cell NOT IN (SELECT {grid_sql('lat', 'lon')} FROM requests)""", "cellmap", "requests"))
-def zones_no_outbound(spark, sf):
+@query("cells_no_outbound", sql(f"""SELECT cell, zone_id FROM cellmap WHERE cell NOT IN (SELECT {grid_sql('lat', 'lon')} FROM requests)""", "cellmap", "requests"))
+def cells_no_outbound(spark, sf):
     origins = views.requests(spark, sf).select(geo.grid_cell(F.col("origin_lat"), F.col("origin_lon")).alias("cell"))
     return common.missing_keys(views.lookup(spark, sf).select("cell", "zone_id"), origins, "cell")
 
 
+@query("zones_no_outbound", sql("SELECT t.call_type, z.zone_id FROM (SELECT DISTINCT call_type FROM cur) t, zones z WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.call_type = t.call_type AND c.origin_zone = z.zone_id)", "cur", "zones"))
+def zones_no_outbound(spark, sf):
+    """Zones where no trip of a call type starts: every zone for each type seen, without the pairs that occur."""
+    seen = views.curated(spark, sf).select("call_type", F.col("origin_zone").alias("zone_id")).distinct()
+    kinds = seen.groupBy().agg(F.collect_set("call_type").alias("kinds"))  # three call types
+    spine = views.zones(spark, sf).select("zone_id", F.explode(kinds.scalar()).alias("call_type"))
+    return spine.join(seen, ["call_type", "zone_id"], "left_anti").select("call_type", "zone_id")
+
+
 @query("etl_summary", sql("""SELECT count(*) AS n_trips, round(avg(trip_duration_sec), 6) AS avg_duration_sec, round(avg(trip_distance_km), 6) AS avg_distance_km,
     min(event_time) AS first_event, max(event_time) AS last_event, count(DISTINCT origin_zone) AS n_zones FROM cur""", "cur"))
 def etl_summary(spark, sf):

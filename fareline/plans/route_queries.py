@@ -121,6 +121,19 @@ def traj_despike(spark, sf):
     return rounded(p.select("trip_id", F.size("kept").alias("n_kept"), (F.size("points") - F.size("kept")).alias("n_dropped"), paths.path_km(F.col("kept")).alias("km")))
 
 
+REPLAY = {
+    "walk": f"""SELECT TRIP_ID AS trip_id, points, list_reduce(list_transform(points, lambda q: [q]),
+        lambda kept, q: CASE WHEN (kept[-1][1] <> q[1][1] OR kept[-1][2] <> q[1][2]) AND {hav('kept[-1][2]', 'kept[-1][1]', 'q[1][2]', 'q[1][1]')} / (15 / 3600e0) <= 120e0 THEN list_concat(kept, q) ELSE kept END) AS kept FROM good""",
+}
+
+
+@query("traj_despike_replay", sql(f"SELECT trip_id, CAST(len(kept) AS INT) AS n_kept, round({length('kept')}, 6) AS km FROM walk", "good", extra=REPLAY))
+def traj_despike_replay(spark, sf):
+    """The form used for replays: 120 km/h, and points that repeat the last one are left out."""
+    p = _paths(spark, sf).withColumn("kept", paths.despike(F.col("points"), K.REPLAY_MAX_SPEED_KMH, skip_repeats=True))
+    return rounded(p.select("trip_id", F.size("kept").alias("n_kept"), paths.path_km(F.col("kept")).alias("km")))
+
+
 ROUTE = {
     "turns": """SELECT trip_id, count(*) FILTER (WHERE m > 1e-12 AND dot / m < -0.85e0) AS rev FROM (
         SELECT trip_id, dx1 * dx2 + dy1 * dy2 AS dot, sqrt(dx1 * dx1 + dy1 * dy1) * sqrt(dx2 * dx2 + dy2 * dy2) AS m FROM (

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def test_fares(spark):
     assert (d.a, d.b, d.c) == (13.0, 60, 240)
 
 
-def brute_match(reqs, pings, neighbours):
+def brute_match(reqs, pings, neighbours, ttl_ms=60000):
     """Per (trip, zone): vehicles alive at the instant, best by (idle, id)."""
     out = {}
     for trip, zone, t in reqs:
@@ -113,7 +114,7 @@ def brute_match(reqs, pings, neighbours):
             for taxi, pz, pt, speed in sorted(pings, key=lambda p: p[2]):
                 if pz == z and pt <= t:
                     state[taxi] = (pt, speed)
-            live = [(int(s < 5), taxi) for taxi, (pt, s) in state.items() if t - pt < 60000]
+            live = [(int(s < 5), taxi) for taxi, (pt, s) in state.items() if t - pt < ttl_ms]
             out[trip, z] = (len(live), min(live)[1] if live else None)
     return out
 
@@ -144,6 +145,13 @@ def test_match_candidates_against_brute_force(spark):
     assert best.count() == len(reqs)
 
 
+@pytest.mark.parametrize("ttl_s", [120, 600])
+def test_match_candidates_with_longer_lifetimes(spark, ttl_s):
+    p, r, pings, reqs = _match_frames(spark, n_ping=40, seed=8)
+    want = brute_match(reqs, pings, {1: [2, 3], 3: [1]}, ttl_s * 1000)
+    assert {(x.trip_id, x.zone_id): (x.candidates, x.taxi_id) for x in matching.match_candidates(r, p, zones(spark), ttl_s).collect()} == want
+
+
 @pytest.mark.parametrize("slice_s", [60, 240, 3600])
 def test_exclusive_matching_does_not_depend_on_slices(spark, slice_s):
     p, r, pings, reqs = _match_frames(spark, n_req=80, n_ping=150, seed=5)
@@ -318,3 +326,19 @@ def test_replay_mirrors_at_the_box_and_stays_inside_an_outline(spark):
     ring = F.array(*[F.array(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (2.25, 0.0), (2.25, 5.0), (0.0, 5.0), (0.0, 0.0))])
     held = one(df.select(paths.replay_steps(F.col("points"), start, 1.0, 1.0, (0.0, 5.0), (0.0, 5.0), ring).alias("p"))).p
     assert held == [[4.0, 1.0], [2.0, 1.0], [2.0, 1.0], [2.0, 1.5]]
+
+
+def test_ordered_counts_and_percentiles_with_a_hot_value_and_null_groups(spark):
+    rnd = random.Random(2)
+    rows = [(None if i % 7 == 0 else i % 2, 5.0 if rnd.random() < 0.7 else rnd.choice([None, round(rnd.gauss(0, 50), 1)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r.g, r.value): (r.n, r.before, r.total) for r in common.ordered_counts(df, "v", ["g"]).collect()}
+    for g in (None, 0, 1):
+        own = sorted(v for k, v in rows if k == g and v is not None)
+        for v in set(own):
+            assert got.pop((g, v)) == (own.count(v), sum(x < v for x in own), len(own))
+        for r in common.percentiles(df.where(F.col("g").eqNullSafe(F.lit(g))), "v", [0.0, 0.1, 0.5, 0.975, 1.0]).collect():
+            assert r.value == pytest.approx(np.quantile(own, r.p), abs=1e-9)
+    assert not got
+    assert common.ordered_counts(df.limit(0), "v").collect() == []
+    assert common.percentiles(df.limit(0), "v", [0.5]).collect() == []
