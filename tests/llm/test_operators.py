@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -88,6 +89,61 @@ def test_minhash_estimate_is_near_the_truth():
         assert abs(est - true) < minhash.margin(0.5)
 
 
+def test_minhash_loses_no_link_of_small_sets(spark):
+    """Pairs exactly at the threshold, by sets of few words: 4 of 5, 8 of 10, 16 of 20, 40 of 50 shingles."""
+    rng, texts, want = random.Random(6), [], []
+    for small, large in ((4, 5), (8, 10), (16, 20), (40, 50)):
+        for _ in range(125):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(large + 1)]
+            want += [len(texts)] * 2
+            texts += [" ".join(words), " ".join(words[: small + 1])]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(spark, texts), 2, 0.8).collect()}
+    ids = sorted(got)
+    assert [got[i] for i in ids] == [ids[k] for k in want]
+
+
+def test_minhash_groups_below_the_threshold(spark):
+    """Groups whose members share much but not enough, next to groups of true copies and subgroups."""
+    rng, word = random.Random(3), lambda: f"w{rng.randrange(30000)}"
+    new = lambda n: [word() for _ in range(n)]
+
+    def edit(words, k):
+        words = list(words)
+        for _ in range(k):
+            words[rng.randrange(len(words))] = word()
+        return words
+
+    texts, base = [], new(200)
+    texts += [edit(base, 11) for _ in range(70)]
+    base = new(300)
+    texts += [edit(base, 9) for _ in range(60)]
+    base = new(100)
+    for _ in range(4):
+        part = base + new(60)
+        texts += [edit(part, rng.choice([3, 5, 7])) for _ in range(25)]
+    texts = [" ".join(t) for t in texts]
+    assert_components(spark, texts, 2)
+
+
+def assert_components(spark, texts, words):
+    sets = [frozenset(minhash.shingle_set(t, words).tolist()) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(spark, texts), words, 0.8).collect()}
+    ids = sorted(got)
+    assert [got[i] for i in ids] == [ids[find(k)] for k in range(len(texts))]
+
+
 def test_minhash_awkward_rows(spark):
     rows = minhash.near_duplicates(awkward(spark), 2, 0.8).collect()
     got = sorted((r["doc_id"] or -1, r["n_shingles"] > 0, r["component_id"] or -1) for r in rows)
