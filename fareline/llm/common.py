@@ -1,5 +1,7 @@
 """Shared helpers of the training-data operators: word hashing, stored steps, components."""
 
+import ctypes
+import gc
 import re
 
 import numpy as np
@@ -83,6 +85,15 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def give_back() -> None:
+    """Return what a finished task has freed to the system: Spark keeps its Python workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn, schema: str, state=None) -> DataFrame:
     """mapInArrow for a function from one record batch to a dict of columns (or None). With `state`,
     a task makes one by state() and gives it to the function; it ends with the task."""
@@ -94,6 +105,9 @@ def arrow_map(df: DataFrame, fn, schema: str, state=None) -> DataFrame:
             cols = fn(batch, *own)
             if cols is not None:
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in (cols[n] for n in names)], names)
+            del batch, cols
+        del own
+        give_back()
 
     return df.mapInArrow(run, schema)
 

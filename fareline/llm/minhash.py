@@ -215,15 +215,17 @@ def _by_differences(members: DataFrame, threshold: float) -> tuple[DataFrame, Da
     met = apart.join(least, "cluster").withColumn("sum", F.col("a") + F.col("m.a"))
     near = met.where((F.col("sum") <= 0) & (F.col("comp") != F.col("m.comp"))).select(F.col("node").alias("a"), F.col("m.node").alias("b"))
     shared = F.greatest(F.lit(1), F.ceil(F.col("sum") / (2 * plus)))
-    open_ = met.withColumn("length", F.size("d") - shared + 1).where("length > 0").select("cluster", "size", "node", "n", "comp", "length", F.size("d").alias("all"), F.explode("d").alias("e"))
+    open_ = met.withColumn("length", F.size("d") - shared + 1).where("length > 0").select("cluster", "size", "node", "n", "comp", "a", "length", F.size("d").alias("all"), F.explode("d").alias("e"))
     again = apart.select("cluster", F.explode("d").alias("e")).groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     own = Window.partitionBy("cluster", "node")
     ranked = open_.join(again, ["cluster", "e"]).withColumn("rank", F.row_number().over(own.orderBy("f", "e"))).withColumn("many", F.count(F.lit(1)).over(own))
-    prefix, p2 = store(ranked.where("all - many + rank <= length").select("cluster", "size", "e", "node", "n", "comp"), "op1-prefix")
+    prefix, p2 = store(ranked.where("all - many + rank <= length").select("cluster", "size", "e", "node", "n", "comp", "a", (F.col("many") - F.col("rank") + 1).alias("left")), "op1-prefix")
     groups = prefix.groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
     few = prefix.join(groups.where(f"c <= {PAIRED}").select("cluster", "e"), ["cluster", "e"])
-    side = lambda x: few.select("cluster", "e", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("comp").alias(f"c{x}"))
-    rare = side("a").join(side("b"), ["cluster", "e"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb"), threshold)).select("a", "b")
+    side = lambda x: few.select("cluster", "e", *(F.col(c).alias(f"{k}{x}") for c, k in (("node", ""), ("n", "n"), ("comp", "c"), ("a", "a"), ("left", "l"))))
+    # At its first common element a pair has all that it shares still before it, in both orders.
+    enough = 2 * plus * F.least("la", "lb") >= F.col("aa") + F.col("ab")
+    rare = side("a").join(side("b"), ["cluster", "e"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb"), threshold) & enough).select("a", "b")
     hot = prefix.join(groups.where(f"c > {PAIRED}").select("cluster", "e"), ["cluster", "e"]).select("cluster", "size", "e", "node")
     return near.union(rare), hot, [p1, p2]
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareline.llm.common import store
+from fareline.llm.common import give_back, store
 from fareline.llm.files import Committed, read_all, shard_count
 from fareline.session import estimated_bytes, scratch
 
@@ -312,6 +312,8 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_i
                 if sum(map(len, ids)) >= file_ids:
                     flush()
         flush()
+        del enc
+        give_back()
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["name", "shard", "seq", "docs", "ids"])
 

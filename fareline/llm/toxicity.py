@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import arrow_map, plain_words
+from fareline.llm.common import arrow_map, give_back, plain_words
 
 WINDOW, STRIDE = 24, 16
 WORD_SLOTS = CHAR_SLOTS = 1 << 16
@@ -345,5 +345,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
         s = Scorer(Net(params=shared))
         for batch in batches:
             yield batch.filter(pa.array(_scored(s, batch.column(at)) < threshold))
+        del s
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
