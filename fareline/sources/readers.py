@@ -143,12 +143,15 @@ def decode_events(df: DataFrame, schema: str, kind: str, value: str = "value", r
 
 
 def read_events(spark: SparkSession, source: str, **options) -> DataFrame:
-    """Streaming text events, one ``value`` column. ``kafka`` needs its connector on the class
-    path; ``text`` reads a folder of JSON lines."""
+    """Streaming text events: ``value``, ``record_time`` and ``record_no``, the time and place of
+    arrival. ``kafka`` needs its connector on the class path; ``text`` reads a folder of JSON lines,
+    which carry fields of those names where arrival matters."""
     reader = spark.readStream.format(source)
     if source == "kafka":
         options = {"startingOffsets": "earliest", **options}
     for k, v in options.items():
         reader = reader.option(k, v)
     stream = reader.load()
-    return stream.selectExpr("CAST(value AS STRING) AS value", "timestamp AS record_time") if source == "kafka" else stream
+    if source == "kafka":
+        return stream.selectExpr("CAST(value AS STRING) AS value", "timestamp AS record_time", "lpad(CAST(offset AS STRING), 20, '0') AS record_no")
+    return stream.select("value", F.try_to_timestamp(F.get_json_object("value", "$.record_time")).alias("record_time"), F.get_json_object("value", "$.record_no").alias("record_no"))

@@ -1,7 +1,7 @@
 """Keyed state for the two operators Spark has no built-in form for.
 
-Both keep small state per key, expire it by event-time timers, and read a micro-batch in chunks. The
-rows of one key in one micro-batch are ordered by time before use; a trigger limit on the source
+Both keep small state per key, expire it, and read a micro-batch in chunks. The rows of one key in
+one micro-batch are ordered before use; a trigger limit on the source
 (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) bounds how many that can be.
 """
 
@@ -22,14 +22,20 @@ def _ordered(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
 
 
 class StrictlyIncreasing(StatefulProcessor):
-    """Passes a row only if its event time is above the key's last one; forgets idle keys."""
+    """Passes a row only if its event time is above all earlier arrivals of its key.
+
+    Rows of a micro-batch are taken in order of arrival (record_time, record_no), as the batch form
+    takes them, so the answer does not depend on how the input is cut. With ``forget``, which needs
+    processing-time mode, a key that stays silent for the time to live is forgotten."""
+
+    def __init__(self, forget: bool = False):
+        self.forget = forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last_us", "us long")
+        self.last = handle.getValueState("last_us", "us long", K.GPS_STATE_TTL_S * 1000 if self.forget else None)
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = _ordered(rows, ["event_time"])
+        batch = _ordered(rows, ["record_time", "record_no"])
         if batch.empty:
             return
         last = self.last.get()[0] if self.last.exists() else None
@@ -40,15 +46,8 @@ class StrictlyIncreasing(StatefulProcessor):
         keep = top.isna() | (us > top)
         newest = int(us.max()) if last is None else max(last, int(us.max()))
         self.last.update((newest,))
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(newest // 1000 + K.GPS_STATE_TTL_S * 1000)
         yield batch[keep.to_numpy()][["taxi_id", "event_time", "payload"]]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.last.clear()
-        yield pd.DataFrame({"taxi_id": pd.Series(dtype="str"), "event_time": pd.Series(dtype="datetime64[us]"), "payload": pd.Series(dtype="str")})
-
     def close(self) -> None:
         pass
 

@@ -1,14 +1,17 @@
 """Streams against their batch twins."""
 
 import datetime as dt
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from fareline.operators import gps
-from fareline.plans import views
+from fareline.plans import stream_queries, views
 from fareline.plans.live_queries import asked, normalized
 from fareline.plans.stream_queries import ONCE, POSITION, REQUEST, _asked, _positions, feed, replay, run
+from fareline.session import scratch
 from fareline.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -36,18 +39,44 @@ def test_demand_stream_equals_batch_when_nothing_is_late(spark, sf):
     assert {w for w in want if w[1] < last - dt.timedelta(minutes=11)} <= got
 
 
-def test_gps_stream_equals_batch_when_in_order(spark, sf):
-    jobs.require_rocksdb(spark)
-    pings = views.pings(spark, sf).withColumn("arrival", F.col("event_time"))
-    cols = ["taxi_id", "event_time", "lat", "lon", "speed_kmh", "status", "cell", "snap_dist_m", "arrival"]
-    values = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(feed(spark, pings.select(*cols), "event_time", "g", batches=3))
-    out, _ = run(jobs.stream_pings(values, views.lookup(spark, sf), views.zones(spark, sf)), "g")
+@pytest.mark.parametrize("batches", [2, 9])
+def test_gps_stream_equals_batch_for_any_cut(spark, sf, batches):
     key = lambda x: (x.taxi_id, x.zone_id, x.event_time, round(x.lat, 6), round(x.lon, 6))
-    got = sorted(key(x) for x in spark.read.parquet(out).collect())
-    want = sorted(key(x) for x in gps.normalize_pings(pings, views.lookup(spark, sf), views.zones(spark, sf)).collect())
+    got = sorted(key(x) for x in stream_queries.stream_gps(spark, sf, batches).collect())
+    want = sorted(key(x) for x in normalized(spark, sf).collect())
     assert got == want
 
 
+def test_demand_stream_closes_every_window_for_any_cut(spark, sf):
+    each = [{tuple(x) for x in stream_queries.stream_demand_closed(spark, sf, n).collect()} for n in (2, 7)]
+    want = gps.demand_window(_positions(spark, sf), _asked(spark, sf).withColumnRenamed("origin_zone", "zone_id"))
+    assert each[0] == each[1] == {tuple(x) for x in want.select("zone_id", "window_start", "unique_vehicles", "pending_requests").collect()}
+
+
+def test_join_match_answers_every_request(spark, sf):
+    rows = stream_queries.stream_match_join(spark, sf, 3).collect()
+    trips = {r.trip_id for r in _asked(spark, sf).select("trip_id").collect()}
+    assert len(rows) == len(trips) and {r.trip_id for r in rows} == trips
+    assert {r.status for r in rows} == {"matched", "no_vehicle"}
+
+
+def test_heartbeat_moves_the_watermark_of_a_silent_feed(spark, tmp_path):
+    now = dt.datetime.now(dt.timezone.utc)
+    live, silent = str(tmp_path / "live"), str(tmp_path / "silent")
+    schema = "zone_id int, event_time timestamp, taxi_id string"
+    spark.createDataFrame([(1, now - dt.timedelta(seconds=90), "a")], schema).write.json(live)
+    spark.createDataFrame([], schema).write.json(silent)
+    feed_of = lambda path: jobs.with_heartbeat(spark.readStream.schema(schema).json(path), idle_s=15)
+    q = jobs.stream_demand(feed_of(live), feed_of(silent).drop("taxi_id"), delay="5 seconds").writeStream.format("memory").queryName("beats").outputMode("append").trigger(processingTime="1 second").start()
+    try:
+        until = time.monotonic() + 90
+        while time.monotonic() < until and not spark.table("beats").count():
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert [(r.zone_id, r.unique_vehicles, r.pending_requests) for r in spark.table("beats").collect()] == [(1, 1, 0)]
+
+
 def test_late_rows_are_dropped_and_counted(spark):
     rows = [(1, "a", 10.0, "moving", at(0), at(0)), (1, "b", 10.0, "moving", at(90), at(90)), (1, "c", 10.0, "moving", at(120), at(120)),
             (1, "d", 10.0, "moving", at(200), at(200)), (1, "late", 10.0, "moving", at(1), at(320)), (1, "e", 10.0, "moving", at(400), at(400))]
@@ -55,10 +84,16 @@ def test_late_rows_are_dropped_and_counted(spark):
     req = spark.createDataFrame([(1, at(s), at(s)) for s in (0, 90, 120, 200, 320, 400)], "zone_id int, event_time timestamp, arrival timestamp")
     p = replay(spark, feed(spark, df, "event_time", "lp", batches=8), POSITION)
     r = replay(spark, feed(spark, req, "event_time", "lr", batches=8), "zone_id INT, event_time TIMESTAMP")
-    out, q = run(jobs.stream_demand(p, r), "late")
+    seen = jobs.LateRows(spark, scratch(spark, "late-counts"), group=2)
+    spark.streams.addListener(seen)
+    out, _ = run(jobs.stream_demand(p, r), "late")
+    assert seen.done.wait(60)
+    spark.streams.removeListener(seen)
     first = spark.read.parquet(out).where(F.col("window_start") == F.lit(at(0))).collect()
     assert [x.unique_vehicles for x in first] == [1]
-    assert sum(n for _, n in jobs.drops_by_watermark(q)) >= 1
+    told = spark.read.parquet(seen.path).collect()
+    assert sum(r.dropped for r in told) >= 1
+    assert len({r.batch_id for r in told}) == len(told) >= 8
 
 
 def test_stream_match_is_exclusive_and_resolved(spark, sf):
