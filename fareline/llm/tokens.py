@@ -28,6 +28,7 @@ _MAGIC = b"RPID1\n"
 _SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"
 _WIDE_SPACES = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD = re.compile("[\0" + _SPACES + _WIDE_SPACES + "]|[ \n][ \n]|\\A[ \n]|[ \n]\\Z")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _ODD_WORD = re.compile("[\n" + _SPACES + _WIDE_SPACES + "]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -42,7 +43,7 @@ class Encoder:
     """Ids of whole texts with the tokenizers library, remembering those of words.
 
     A byte-level tokenizer never joins what a single space between two other characters, or a
-    single newline, separates, nor a letter or digit and a following point or comma at the word's end.
+    single newline, separates, nor a letter or digit and the ASCII punctuation that ends a word.
     So words are encoded once and texts put together from them. Special tokens' strings in a text
     are ordinary text."""
 
@@ -53,11 +54,10 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.newline, tails = self._plain("\n"), {c: self._plain(c) for c in ".,"}
-        self.tails = {c: x[0] for c, x in tails.items()}
+        self.newline = self._plain("\n")
         pre = json.loads(self.tok.to_str())
         step = pre.get("pre_tokenizer") or {}
-        self.by_word = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and not pre.get("normalizer") and all(len(x) == 1 and x[0] > 0 for x in (self.newline, *tails.values()))
+        self.by_word = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and not pre.get("normalizer") and len(self.newline) == 1
         self.clear()
 
     def _plain(self, text: str) -> list[int]:
@@ -80,7 +80,7 @@ class Encoder:
     def _learn(self) -> None:
         """Encode the words met for the first time, many in one text with newlines between."""
         new = self.new
-        core = [w[:-1] if len(w) > 2 and w[-1] in ".," and w[-2].isalnum() else w for w in new]
+        core = [c if len(c) < len(w) and c and c[-1].isalnum() else w for w, c in ((w, w.rstrip(_PUNCTUATION)) for w in new)]
         index: dict[str, int] = {}
         which = np.fromiter((index.setdefault(w, len(index)) for w in core), np.int64, len(core))
         text = [w[1:] if w[:1] == "\0" else " " + w for w in index]
@@ -101,22 +101,32 @@ class Encoder:
             parts.append(ids)
             used += len(ids)
         ids = np.concatenate([*parts, np.zeros(0, np.uint32)])
-        tail = np.fromiter((self.tails.get(w[-1:], 0) if len(c) < len(w) else 0 for w, c in zip(new, core)), np.int64, len(new))
-        short = n[which]
-        count = short + (tail > 0)
-        sums = np.r_[0, np.cumsum(count)]
-        flat = np.zeros(sums[-1], np.uint32)
-        inner = np.arange(short.sum()) - np.repeat(np.r_[0, np.cumsum(short)][:-1], short)
-        flat[np.repeat(sums[:-1], short) + inner] = ids[np.repeat(at[which], short) + inner]
-        flat[sums[1:][tail > 0] - 1] = tail[tail > 0]
+        tails = {"": 0}
+        tail = np.fromiter((tails.setdefault(w[len(c) :], len(tails)) for w, c in zip(new, core)), np.int64, len(new))
+        own = [np.array(self._plain(t), np.uint32) for t in tails]
+        tail_n = np.fromiter(map(len, own), np.int64, len(own))
+        flat = self._joined([(ids, at[which], n[which]), (np.concatenate(own), (np.cumsum(tail_n) - tail_n)[tail], tail_n[tail])])
+        count = n[which] + tail_n[tail]
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        self.at = np.concatenate([self.at, self.used + sums[:-1]])
+        self.at = np.concatenate([self.at, self.used + np.cumsum(count) - count])
         self.n = np.concatenate([self.n, count.astype(np.int32)])
         self.used += len(flat)
         new.clear()
 
+    @staticmethod
+    def _joined(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Row by row, the pieces (source, start, length) of all parts one after another."""
+        total = sum(n for _, _, n in parts)
+        out = np.zeros(int(total.sum()), np.uint32)
+        to = np.cumsum(total) - total
+        for source, start, n in parts:
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(to, n) + inner] = source[np.repeat(start, n) + inner]
+            to = to + n
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, END_ID after each text, and each text's number of ids."""
         if not self.by_word:
