@@ -36,6 +36,13 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are written: Spark deletes them when the driver
+    collects its garbage, which a busy job with a large heap may put off for long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 class WordHashes(dict):
     """64-bit hash of a word's bytes, remembered by one task. `trim` keeps the memory bounded."""
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareline.llm.common import WordHashes, arrow_map, ascii_words, components, grams, mix64, remove, signed, store
+from fareline.llm.common import WordHashes, arrow_map, ascii_words, components, free_shuffles, grams, mix64, remove, signed, store
 from fareline.session import small_side
 
 BANDS, ROWS = 42, 6
@@ -284,9 +284,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         old.append(path)
         return new
 
+    def whole(found: DataFrame) -> DataFrame:
+        """Labels of the components of all links so far."""
+        linked = components(found).select("node", F.col("comp").alias("to"))
+        new, path = store(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("to", "node").alias("comp")), "op1-labels")
+        old.append(path)
+        return new
+
     every = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    # A hub is the least node of its group, so nodes of one hub get one label.
-    labels = relabel(nodes.select("node", F.col("node").alias("comp")), every)
+    labels = whole(every)
+    free_shuffles(spark)
     # Groups of two are done; so are those that the hub has joined.
     several = groups.where("c > 2").select("band", "hub", "node").join(labels, "node")
     undone = several.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
@@ -308,9 +315,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         labels = relabel(labels, found)
         clusters = _parted(hot)
         remove(spark, p_members, *paths)
-    linked = components(every).select("node", F.col("comp").alias("to"))
-    labels, p_final = store(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("to", "node").alias("comp")), "op1-labels")
-    old.append(p_final)
+        free_shuffles(spark)
+    labels = whole(every)
     comp_of = nodes.select("node", "first_id").join(labels, "node")
     lowest = comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     ids, _ = store(comp_of.join(lowest, "comp").select("node", "comp", "component_id"), "op1-ids")
