@@ -47,7 +47,7 @@ class Encoder:
     So words are encoded once and texts put together from them. Special tokens' strings in a text
     are ordinary text."""
 
-    MOST = 1 << 19
+    MOST = 1 << 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
