@@ -6,13 +6,17 @@ never multiplied by candidates and never shuffled when the index is small; beyon
 limit the same join runs as a shuffle join with AQE skew splitting.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions import geo
-from fareline.session import small_side, spread
+from fareline.session import BROADCAST_LIMIT_BYTES, small_side, spread
 
 INDEX_DEG = 0.02
+#: One node in a cell's list: a struct of three numbers with its offset and null bits.
+INDEX_ENTRY_BYTES = 48
 
 
 def zone_index(zones: DataFrame, size: float = INDEX_DEG) -> DataFrame:
@@ -199,18 +203,35 @@ def node_index(nodes: DataFrame, size: float) -> DataFrame:
     )
 
 
-def snap_nearest(df: DataFrame, nodes: DataFrame, lat: str, lon: str, limit_deg: float, levels: int = 3) -> DataFrame:
+def snap_levels(rows: int, area: float, limit_deg: float) -> int:
+    """Grid levels down to cells of about one node, so that the candidates of a point do not grow
+    with the number of nodes."""
+    pitch = math.sqrt(area / rows) if rows and area > 0 else 0.0
+    return min(8, max(1, 1 + math.ceil(math.log(limit_deg / pitch, 4)))) if pitch else 1
+
+
+def snap_nearest(df: DataFrame, nodes: DataFrame, lat: str, lon: str, limit_deg: float, levels: int | None = None) -> DataFrame:
     """Nearest node within ``limit_deg``, else nulls; ``snap_m`` is the distance in metres.
 
     The grid is refined in steps of 4. A hit closer than the cell size is final, because the 3x3
     block covers that radius; only unresolved points look at the next coarser level, so dense areas
     never meet their coarse candidate lists.
+
+    The index holds nine entries a node, which the optimizer's estimate of compressed files does not
+    show: the counted nodes decide between a broadcast and a sort-merge join. There a point without a
+    cell to look up gets a key of its own that meets nothing, or all of them would be one task's rows.
     """
     y, x = F.col(lat), F.col(lon)
+    seen = nodes.agg(
+        F.count("*").alias("n"),
+        ((F.max("node_lat") - F.min("node_lat")) * (F.max("node_lon") - F.min("node_lon"))).alias("area")).first()
+    levels = levels or snap_levels(seen["n"], seen["area"] or 0.0, limit_deg)
+    held = seen["n"] * 9 * INDEX_ENTRY_BYTES <= BROADCAST_LIMIT_BYTES
+    alone = -1 - F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(1 << 40))
     out = spread(df, lat).withColumn("sn", F.lit(None).cast("struct<d:double,node_id:bigint,node_lat:double,node_lon:double>"))
     for step in reversed(range(levels)):
         size = limit_deg / (4**step)
-        key = F.when(F.col("sn").isNull(), geo.grid_cell(y, x, size))
+        key = F.coalesce(F.when(F.col("sn").isNull(), geo.grid_cell(y, x, size)), alone)
         found = F.array_min(
             F.transform(
                 "ix_nodes",
@@ -222,7 +243,7 @@ def snap_nearest(df: DataFrame, nodes: DataFrame, lat: str, lon: str, limit_deg:
         )
         out = (
             out.withColumn("ix_cell", key)
-            .join(small_side(node_index(nodes, size), expand=9), "ix_cell", "left")
+            .join(node_index(nodes, size).hint("broadcast" if held else "merge"), "ix_cell", "left")
             .withColumn("hit", found)
             .withColumn("sn", F.coalesce("sn", F.when(F.col("hit.d") <= size, F.col("hit"))))
             .select(*df.columns, "sn")
