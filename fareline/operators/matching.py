@@ -13,6 +13,9 @@ Each vehicle covers an instant with exactly one block, so the result is exact. W
 vehicle sits at the zone centre, so the score order is (idle, taxi id).
 """
 
+import heapq
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,30 +149,38 @@ SLICE_SCHEMA = "slice long, seq long, trip_id string, zone_id int, taxi_id strin
 
 def _run_slice(pdf: pd.DataFrame) -> pd.DataFrame:
     """Replay one time slice in event order. Rows: kind 0 = carried-in use of a ping, 1 = ping,
-    2 = request (one row per zone asked, in hop order)."""
-    pdf = pdf.sort_values(["t", "kind", "seq", "hop", "taxi_id"], kind="stable")
-    used = {(r.zone_id, r.taxi_id, r.ping_ms) for r in pdf[pdf.kind == 0].itertuples()}
-    pool: dict[int, dict[str, tuple]] = {}
+    2 = request (one row per zone asked, in hop order).
+
+    A zone's pings wait in a heap by (idle, taxi). What is expired, superseded or used stays so,
+    hence it is dropped when it comes to the top: a request costs a logarithm, not its zone's pool."""
+    ttl = K.VEHICLE_TTL_S * 1000
+    order = np.lexsort((pdf["hop"], pdf["seq"], pdf["kind"], pdf["t"]))
+    order = order[pdf["kind"].to_numpy()[order] > 0]
+    old = pdf[pdf["kind"] == 0]
+    carried = set(zip(old["zone_id"], old["taxi_id"], old["ping_ms"]))
+    rows = zip(*(pdf[c].to_numpy()[order].tolist() for c in ("kind", "t", "seq", "trip_id", "zone_id", "taxi_id", "idle", "ping_ms")))
+    latest: dict[tuple, int] = {}
+    heaps: dict[int, list[tuple]] = {}
     done: set[str] = set()
     out = []
-    ttl = K.VEHICLE_TTL_S * 1000
-    for r in pdf[pdf.kind > 0].itertuples():
-        zone = pool.setdefault(r.zone_id, {})
-        if r.kind == 1:
-            zone[r.taxi_id] = (r.idle, r.ping_ms)
+    for kind, t, seq, trip, zone, taxi, idle, ms in rows:
+        heap = heaps.setdefault(zone, [])
+        if kind == 1:
+            latest[zone, taxi] = ms
+            if (zone, taxi, ms) not in carried:
+                heapq.heappush(heap, (idle, taxi, ms))
             continue
-        if r.trip_id in done:
+        if trip in done:
             continue
-        free = [
-            (idle, taxi, ms) for taxi, (idle, ms) in zone.items()
-            if r.t - ms < ttl and (r.zone_id, taxi, ms) not in used
-        ]
-        if free:
-            idle, taxi, ms = min(free)
-            used.add((r.zone_id, taxi, ms))
-            done.add(r.trip_id)
-            out.append((r.slice, r.seq, r.trip_id, r.zone_id, taxi, ms))
-    return pd.DataFrame(out, columns=["slice", "seq", "trip_id", "zone_id", "taxi_id", "ping_ms"])
+        while heap and (t - heap[0][2] >= ttl or latest[zone, heap[0][1]] != heap[0][2]):
+            heapq.heappop(heap)
+        if heap:
+            _, best, at = heapq.heappop(heap)
+            done.add(trip)
+            out.append((seq, trip, zone, best, at))
+    found = pd.DataFrame(out, columns=["seq", "trip_id", "zone_id", "taxi_id", "ping_ms"])
+    found.insert(0, "slice", pdf["slice"].iloc[0])
+    return found
 
 
 def match_exclusive(requests: DataFrame, pings: DataFrame, zones: DataFrame, slice_s: int = 120) -> DataFrame:

@@ -1,13 +1,12 @@
 """Steps whose cost must not outgrow the input."""
 
-import datetime as dt
 import random
+import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from fareline.operators import spatial
-
-T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+from fareline.operators import matching, spatial
 
 
 def plan(df):
@@ -27,3 +26,37 @@ def test_many_nodes_are_not_broadcast(spark):
 
 def test_snap_levels_follow_the_density():
     assert [spatial.snap_levels(n, 0.065, 0.003) for n in (0, 10, 900_000, 5_400_000)] == [1, 1, 3, 4]
+
+
+def slice_rows(pings, asks, used=()):
+    cols = ["slice", "kind", "t", "seq", "hop", "trip_id", "zone_id", "taxi_id", "idle", "ping_ms"]
+    rows = [(0, 0, -1, 0, 0, "", z, x, 0, ms) for z, x, ms in used]
+    rows += [(0, 1, ms, 0, 0, "", z, x, idle, ms) for z, x, idle, ms in pings]
+    return pd.DataFrame(rows + [(0, 2, t, i, hop, f"r{i}", z, "", 0, 0) for i, (t, zones) in enumerate(asks) for hop, z in enumerate(zones)], columns=cols)
+
+
+def test_slice_replay_is_the_greedy_one():
+    rnd = random.Random(3)
+    pings = sorted({(rnd.randrange(3), f"x{rnd.randrange(15)}", rnd.randrange(120_000)): rnd.randrange(2) for _ in range(150)}.items())
+    pings = [(z, x, idle, ms) for (z, x, ms), idle in pings]
+    asks = [(rnd.randrange(120_000), rnd.sample(range(4), 2)) for _ in range(120)]
+    used = {(z, x, ms) for z, x, _, ms in pings[::9]}
+    taken, want = set(used), []
+    for t, i, zones in sorted((t, i, z) for i, (t, z) in enumerate(asks)):
+        for zone in zones:
+            last = {x: (idle, x, ms) for z, x, idle, ms in sorted(pings, key=lambda p: p[3]) if z == zone and ms <= t}
+            free = sorted(p for p in last.values() if t - p[2] < 60_000 and (zone, p[1], p[2]) not in taken)
+            if free:
+                taken.add((zone, *free[0][1:]))
+                want.append((f"r{i}", zone, *free[0][1:]))
+                break
+    got = matching._run_slice(slice_rows(pings, asks, used))
+    assert len(want) > 30 and list(got[["trip_id", "zone_id", "taxi_id", "ping_ms"]].itertuples(index=False, name=None)) == want
+    assert matching._run_slice(slice_rows(pings, [])).empty
+
+
+def test_a_request_does_not_scan_its_zone():
+    pings = [(1, f"x{i:05d}", 0, i % 1000) for i in range(20_000)]
+    started = time.monotonic()
+    got = matching._run_slice(slice_rows(pings, [(2000 + i, [1]) for i in range(20_000)]))
+    assert len(got) == 20_000 and time.monotonic() - started < 10
