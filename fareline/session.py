@@ -75,8 +75,15 @@ def small_side(df: DataFrame, expand: int = 1, limit: int = BROADCAST_LIMIT_BYTE
     return F.broadcast(df) if estimated_bytes(df) * expand <= limit else df
 
 
+#: Rows that one task of per-row work (parsing, draws) takes; a table of more rows gets more tasks.
+ROWS_PER_TASK = 100_000
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a narrow input over the session's cores if it comes in fewer partitions (one
-    small file is one task). Large inputs already have more partitions and pass unchanged."""
+    """Hash-partition a narrow input so that every core has a task and no task has more than about
+    ``ROWS_PER_TASK`` rows. Files are split by their bytes, which says little about the work: a small
+    file or a large row group is one task. Meant for projections of a table, which the file footers
+    count; inputs that already have as many partitions pass unchanged."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    parts = max(cores, -(-df.count() // ROWS_PER_TASK))
+    return df.repartition(parts, key) if df.rdd.getNumPartitions() < parts else df

@@ -6,6 +6,7 @@ import time
 import pandas as pd
 from pyspark.sql import functions as F
 
+from fareline import session
 from fareline.operators import matching, spatial
 
 
@@ -60,3 +61,11 @@ def test_a_request_does_not_scan_its_zone():
     started = time.monotonic()
     got = matching._run_slice(slice_rows(pings, [(2000 + i, [1]) for i in range(20_000)]))
     assert len(got) == 20_000 and time.monotonic() - started < 10
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 500)
+    spark.range(10_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    got = session.spread(spark.read.parquet(str(tmp_path / "t")), "id")
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert got.rdd.getNumPartitions() == 20 and sum(sizes) == 10_000 and max(sizes) < 700
