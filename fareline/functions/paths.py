@@ -63,30 +63,31 @@ def despike(points: Column, vmax: float, skip_repeats: bool = False, step_s: flo
     return F.aggregate(rest, F.slice(points, 1, 1), visit)
 
 
+def bind(value: Column, fn) -> Column:
+    """``fn(value)`` with the value computed once, however often ``fn`` uses it: lambda bodies and
+    CASE branches are not searched for common parts."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def reversals(points: Column) -> Column:
     """Number of near U-turns between consecutive legs (cosine below -0.85)."""
     steps = legs(points, lambda a, b: F.array(F.get(b, 0) - F.get(a, 0), F.get(b, 1) - F.get(a, 1)))
 
     def sharp(u, v):
         dot = F.get(u, 0) * F.get(v, 0) + F.get(u, 1) * F.get(v, 1)
-        norm = F.sqrt(F.get(u, 0) * F.get(u, 0) + F.get(u, 1) * F.get(u, 1)) * F.sqrt(F.get(v, 0) * F.get(v, 0) + F.get(v, 1) * F.get(v, 1))
+        norm = F.get(u, 2) * F.get(v, 2)
         return F.when((norm > 1e-12) & (dot / norm < -0.85), 1).otherwise(0)
 
-    turns = legs(steps, sharp)
-    return F.aggregate(turns, F.lit(0), lambda s, x: s + x)
+    measured = F.transform(steps, lambda u: F.array(F.get(u, 0), F.get(u, 1), F.sqrt(F.get(u, 0) * F.get(u, 0) + F.get(u, 1) * F.get(u, 1))))
+    return bind(measured, lambda m: F.aggregate(legs(m, sharp), F.lit(0), lambda s, x: s + x))
 
 
 def route_verdict(points: Column, max_km: float = 60.0, min_points: int = 3) -> Column:
     """``ok`` or the first rule broken."""
     n = F.size(points)
-    km = path_km(points)
-    return (
-        F.when(n < min_points, "too_few_points")
-        .when(km < 0.05, "too_short")
-        .when(km > max_km, "too_long")
-        .when(reversals(points) / F.greatest(n - 2, F.lit(1)) > 0.30, "zigzag")
-        .otherwise("ok")
-    )
+    zigzag = reversals(points) / F.greatest(n - 2, F.lit(1)) > 0.30
+    by_length = bind(path_km(points), lambda km: F.when(km < 0.05, "too_short").when(km > max_km, "too_long").when(zigzag, "zigzag").otherwise("ok"))
+    return F.when(n < min_points, "too_few_points").otherwise(by_length)
 
 
 def resample(points: Column, n: Column) -> Column:

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fareline import session
+from fareline.functions import paths
 from fareline.operators import matching, spatial
 
 
@@ -69,3 +70,11 @@ def test_spread_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch):
     got = session.spread(spark.read.parquet(str(tmp_path / "t")), "id")
     sizes = [r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert got.rdd.getNumPartitions() == 20 and sum(sizes) == 10_000 and max(sizes) < 700
+
+
+def test_verdict_measures_a_path_once(spark):
+    line = "array(array(-8.60D, 41.10D), array(-8.61D, 41.11D), array(-8.60D, 41.10D), array(-8.61D, 41.11D))"
+    df = spark.sql(f"SELECT {line} AS points UNION ALL SELECT slice({line}, 1, 2) UNION ALL SELECT array(array(0D, 0D), array(0D, 0D), array(0D, 0D)) UNION ALL SELECT array(array(0D, 0D), array(1D, 0D), array(2D, 0D))")
+    out = df.select(paths.route_verdict(F.col("points"), max_km=20.0).alias("v"))
+    assert [r.v for r in out.collect()] == ["zigzag", "too_few_points", "too_short", "too_long"]
+    assert plan(out).split("Project", 2)[1].upper().count("ASIN") == 1
