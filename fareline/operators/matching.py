@@ -61,11 +61,15 @@ def intervals(pings: DataFrame, ttl_s: int = K.VEHICLE_TTL_S) -> DataFrame:
     Pings of one vehicle at one instant are merged first (fastest wins: it is the better state).
     The next ping only matters within the lifetime, so the look-ahead is windowed per minute with
     each ping also shown to the minute before it; no window spans a vehicle's whole history.
+
+    The session's number of shuffle partitions is asked for by name: a few dozen time blocks follow
+    from each row, which adaptive coalescing does not see when it joins partitions by their bytes.
     """
+    parts = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ttl = ttl_s * 1000
     merged = pings.groupBy("zone_id", "taxi_id", millis("event_time").alias("t0")).agg(F.max(F.coalesce("speed_kmh", F.lit(0.0))).alias("speed_kmh"))
     home = F.floor(F.col("t0") / ttl)
-    shown = merged.withColumn("home", home).withColumn("cell", F.explode(F.array(home, home - 1)))
+    shown = merged.withColumn("home", home).withColumn("cell", F.explode(F.array(home, home - 1))).repartition(parts, "zone_id", "taxi_id", "cell")
     nxt = F.lead("t0").over(Window.partitionBy("zone_id", "taxi_id", "cell").orderBy("t0"))
     return shown.withColumn("t1", F.least(F.coalesce(nxt, F.col("t0") + ttl), F.col("t0") + ttl)).where("cell = home").select(
         "zone_id", "taxi_id", "t0", "t1", pricing.is_idle(F.col("speed_kmh")).alias("idle"))

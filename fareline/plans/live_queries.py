@@ -8,6 +8,7 @@ from fareline.operators import common, gps, matching, quality, spatial
 from fareline.plans import views
 from fareline.plans.ctes import hav, sql, u32, zone_of
 from fareline.plans.registry import query, rounded
+from fareline.session import spread
 from fareline.sources import sinks
 
 VALID = """lat BETWEEN 33.45e0 AND 33.68e0 AND lon BETWEEN -7.72e0 AND -7.48e0 AND coalesce(speed_kmh BETWEEN 0 AND 150, TRUE)
@@ -32,7 +33,7 @@ def normalized(spark, sf):
 def asked(spark, sf):
     z = views.zones(spark, sf)
     index = spatial.box_index(z)
-    base = views.requests(spark, sf)
+    base = spread(views.requests(spark, sf), "event_id")  # each request fans out to zones and time blocks
     r = spatial.assign_box_zone(base, z, "origin_lat", "origin_lon", prefix="o_", index=index)
     r = spatial.assign_box_zone(r, z, "dest_lat", "dest_lon", prefix="d_", index=index)
     return r.select(*base.columns, F.coalesce("o_zone", F.lit(0)).alias("origin_zone"), F.coalesce("d_zone", F.lit(0)).alias("dest_zone"))

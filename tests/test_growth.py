@@ -78,3 +78,10 @@ def test_verdict_measures_a_path_once(spark):
     out = df.select(paths.route_verdict(F.col("points"), max_km=20.0).alias("v"))
     assert [r.v for r in out.collect()] == ["zigzag", "too_few_points", "too_short", "too_long"]
     assert plan(out).split("Project", 2)[1].upper().count("ASIN") == 1
+
+
+def test_intervals_keep_their_partitions(spark):
+    p = spark.range(200).select(
+        (F.col("id") % 3 + 1).cast("int").alias("zone_id"), F.concat(F.lit("x"), F.col("id") % 20).alias("taxi_id"),
+        F.timestamp_seconds(1_704_067_200 + F.col("id") * 7).alias("event_time"), F.lit(3.0).alias("speed_kmh"))
+    assert matching.intervals(p).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
