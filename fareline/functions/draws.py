@@ -13,8 +13,10 @@ TWO32 = 4294967296.0
 
 
 def uniform(row_id: Column, stream: str, seed: int) -> Column:
-    """Uniform in [0, 1)."""
-    return hash32(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), row_id.cast("string"))) / F.lit(TWO32)
+    """Uniform in [0, 1). The hash of a joined text is never null; saying so keeps joins on a draw from
+    hashing every row once more, below the shuffle before them, to look for nulls."""
+    hashed = hash32(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), row_id.cast("string"))) / F.lit(TWO32)
+    return F.coalesce(hashed, F.lit(0.0))
 
 
 def gaussian(row_id: Column, stream: str, seed: int, mean: float = 0.0, sigma: float = 1.0) -> Column:

@@ -138,8 +138,9 @@ def cdf_table(weights: DataFrame, value: str, weight: str, by: list[str] | None
 def sample_categorical(df: DataFrame, table: DataFrame, value: str, u: Column, out: str, keys: dict[str, str] | None = None, how: str = "inner") -> DataFrame:
     """Add ``out``: the value whose cumulative interval holds ``u``, optionally within the row's
     group (``keys`` maps table columns to row columns). Intervals are listed under every bucket of
-    [0, 1) they touch; the join is an equi-join on (group, bucket) with a residual range test. With
-    ``how='left'`` a null ``u`` draws nothing."""
+    [0, 1) they touch; the join is an equi-join on (group, bucket) with a residual range test. A null
+    ``u`` draws nothing: its bucket is -1, so that no null test of the bucket, which would repeat the
+    hash, moves below a shuffle of the rows."""
     keys = keys or {}
     first = F.floor(F.col("cum_lo") * BUCKETS)
     last = F.floor(F.least("cum_hi", F.lit(1.0)) * BUCKETS)
@@ -151,7 +152,7 @@ def sample_categorical(df: DataFrame, table: DataFrame, value: str, u: Column, o
     for k, mine in keys.items():
         cond = cond & (F.col(mine) == F.col(f"_k_{k}"))
     return (
-        df.withColumn("_u", u).withColumn("_ub", F.floor(F.col("_u") * BUCKETS))
+        df.withColumn("_u", u).withColumn("_ub", F.coalesce(F.floor(F.col("_u") * BUCKETS), F.lit(-1)))
         .join(small_side(dim, expand=BUCKETS), cond, how)
         .drop("_u", "_ub", "_tb", "cum_lo", "cum_hi", *[f"_k_{k}" for k in keys])
     )

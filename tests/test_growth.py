@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fareline import session
 from fareline.functions import paths
-from fareline.operators import matching, spatial
+from fareline.operators import matching, spatial, synth
 
 
 def plan(df):
@@ -85,3 +85,20 @@ def test_intervals_keep_their_partitions(spark):
         (F.col("id") % 3 + 1).cast("int").alias("zone_id"), F.concat(F.lit("x"), F.col("id") % 20).alias("taxi_id"),
         F.timestamp_seconds(1_704_067_200 + F.col("id") * 7).alias("event_time"), F.lit(3.0).alias("speed_kmh"))
     assert matching.intervals(p).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_draws_are_not_hashed_again_below_the_shuffle(spark, sf):
+    """A null test of a draw's bucket moved below the spread of the rows and hashed every draw twice."""
+    from fareline.plans import synth_queries
+
+    text = synth_queries.generated(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    below = text[text.index("RepartitionByExpression"):]
+    assert "md5" not in below.split("\n", 3)[1] + below.split("\n", 3)[2]
+
+
+def test_a_null_draw_takes_nothing(spark):
+    rows = spark.createDataFrame([(1, 0.2), (2, None)], "id int, x double")
+    table = synth.cdf_table(synth._table(spark, [("a", 1), ("b", 1)]), "value", "w")
+    drawn = lambda how: sorted((r.id, r.v) for r in synth.sample_categorical(rows, table, "value", F.col("x"), "v", how=how).collect())
+    assert drawn("inner") == [(1, "a")]
+    assert drawn("left") == [(1, "a"), (2, None)]
