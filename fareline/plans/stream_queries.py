@@ -22,6 +22,7 @@ def feed(spark, df, time, label, batches=BATCHES, close=None):
     source. Rows carry their arrival as record_time and, where there is one, their id as record_no.
     ``close`` adds a last file with a row of that many seconds after the last, which ends all windows."""
     path = scratch(spark, label)
+    df = cut_lineage(df, label + "-in")
     ends = df.agg(F.min("arrival").alias("lo"), F.max("arrival").alias("hi"), F.max(time).alias("last")).head()
     micros = lambda t: int(t.timestamp() * 1_000_000)
     span = micros(ends.hi) - micros(ends.lo) + 1
@@ -33,7 +34,8 @@ def feed(spark, df, time, label, batches=BATCHES, close=None):
     if close is not None:
         late = ends.last + dt.timedelta(seconds=close)
         body = body.unionByName(spark.createDataFrame([(batches, '{"%s":"%s"}' % (time, late.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")))], "step int, value string"))
-    body = cut_lineage(body, label + "-rows")
+    # A folder per step: the one task that writes a step's file reads that step alone.
+    body = cut_lineage(body, label + "-rows", "step")
     for i in range(batches + (close is not None)):
         body.where(F.col("step") == i).select("value").coalesce(1).write.mode("append").text(path)
     return path

@@ -55,11 +55,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: survives executor loss, unlike a local copy."""
+def cut_lineage(df: DataFrame, label: str, *parts: str) -> DataFrame:
+    """Write to the shared folder and read back: survives executor loss, unlike a local copy. With
+    ``parts``, folders by these columns, so that a condition on them reads its folders alone."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*parts).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -148,3 +148,15 @@ def test_event_time_falls_back_to_record_time(spark):
     got = {r.taxi_id: r.event_time for r in readers.decode_events(df, readers.PING_JSON, "gps", record_time="record_time").collect()}
     assert {k: v.timestamp() for k, v in got.items()} == {"a": at(0).timestamp(), "b": at(9).timestamp()}
     assert {r.taxi_id for r in readers.decode_events(df, readers.PING_JSON, "gps").collect()} == {"a"}
+
+
+def test_a_step_of_the_feed_reads_its_own_rows_alone(spark, monkeypatch):
+    stored = []
+    cut = stream_queries.cut_lineage
+    monkeypatch.setattr(stream_queries, "cut_lineage", lambda *a: stored.append(cut(*a)) or stored[-1])
+    rows = [(i, at(s), at(s)) for i, s in enumerate((0, 1, 70, 71, 130, 200, 299))]
+    df = spark.createDataFrame(rows, "n int, event_time timestamp, arrival timestamp").coalesce(1)
+    path = feed(spark, df, "event_time", "steps", 5)
+    assert len(spark.read.text(path).inputFiles()) == 5 and spark.read.json(path).count() == 7
+    files = [{r[0] for r in stored[-1].where(F.col("step") == i).select(F.input_file_name()).collect()} for i in range(5)]
+    assert all(files) and all(not a & b for i, a in enumerate(files) for b in files[:i])
