@@ -151,16 +151,19 @@ def stream_match_join(pings: DataFrame, requests: DataFrame, zones: DataFrame, s
     """Matching without custom state: the best vehicle of every (zone, step) is a streaming aggregate,
     and a request joins the at most ``60 / step`` closed steps before it. The join is an outer one: a
     request asked in a zone that had no vehicle comes out as ``no_vehicle`` when the watermark has
-    passed it. Vehicles are not taken out of the pool, and a ping becomes visible when its step
-    closes. Rows with a null taxi_id or trip_id only move the watermark."""
+    passed it. A zone's steps are looked up by the vehicles' time to live: a step is listed in its own
+    slot of that length and the next, a request asks in its own. Vehicles are not taken out of the
+    pool, and a ping becomes visible when its step closes. Rows with a null taxi_id or trip_id only move the watermark."""
     pool = gps_available(marked(pings, delay, "taxi_id")).groupBy("zone_id", F.window("event_time", f"{step_s} seconds").alias("w")).agg(
         F.min(F.struct(pricing.is_idle(F.col("speed_kmh")).alias("idle"), F.col("taxi_id"))).alias("best"))
+    slot = lambda c: F.floor(F.unix_timestamp(c) / K.VEHICLE_TTL_S)
     pool = pool.select(F.col("zone_id").alias("p_zone"), F.window_time("w").alias("p_time"), "best")
+    pool = pool.select("*", F.explode(F.array(slot("p_time"), slot("p_time") + 1)).alias("p_slot"))
     center = zones.select("zone_id", F.col("centroid_lat").alias("v_lat"), F.col("centroid_lon").alias("v_lon"))
     asked = matching.fan_out(marked(requests, delay, "trip_id"), zones).join(small_side(center), "zone_id")
     km = geo.haversine_km(F.col("origin_lat"), F.col("origin_lon"), F.col("v_lat"), F.col("v_lon"))
-    asked = asked.select("trip_id", "zone_id", "event_time", km.alias("km"))
-    near = (F.col("zone_id") == F.col("p_zone")) & (F.col("p_time") <= F.col("event_time")) & (
+    asked = asked.select("trip_id", "zone_id", "event_time", slot("event_time").alias("slot"), km.alias("km"))
+    near = (F.col("zone_id") == F.col("p_zone")) & (F.col("slot") == F.col("p_slot")) & (F.col("p_time") <= F.col("event_time")) & (
         F.col("p_time") > F.col("event_time") - F.expr(f"INTERVAL {K.VEHICLE_TTL_S} SECONDS"))
     hit = F.col("best").isNotNull()
     return asked.join(pool, near, "left_outer").select(

@@ -1,6 +1,7 @@
 """Streams against their batch twins."""
 
 import datetime as dt
+import re
 import time
 
 import pytest
@@ -160,3 +161,10 @@ def test_a_step_of_the_feed_reads_its_own_rows_alone(spark, monkeypatch):
     assert len(spark.read.text(path).inputFiles()) == 5 and spark.read.json(path).count() == 7
     files = [{r[0] for r in stored[-1].where(F.col("step") == i).select(F.input_file_name()).collect()} for i in range(5)]
     assert all(files) and all(not a & b for i, a in enumerate(files) for b in files[:i])
+
+
+def test_join_match_meets_by_time_as_well_as_zone(spark, sf):
+    p = replay(spark, feed(spark, _positions(spark, sf), "event_time", "pos", 2), POSITION)
+    r = replay(spark, feed(spark, _asked(spark, sf), "event_time", "req", 2), REQUEST)
+    plan = jobs.stream_match_join(p, r, views.zones(spark, sf))._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"slot#\d+L = p_slot#\d+L", plan)
