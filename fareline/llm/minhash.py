@@ -6,16 +6,14 @@ are minima of the whole set under one hash function each; sets of middling size
 a pair uses the kind that fits its smaller set. Bands of compressed registers give candidate groups,
 whose members meet the group's hub.
 
-What a group's hub has not joined is compared by differences, never member by member. Groups that
-overlap form a cluster; h is the set of the shingles that most of its members have, D(x) the shingles
-in which x differs from h. With t the threshold and q = (1 - t) / (1 + t), x and y are linked exactly
-if |D(x)| + |D(y)| - 2 |D(x) & D(y)| <= q (|x| + |y|). Let a(x) = |D(x)| - q |x|. Pairs with
-a(x) + a(y) <= 0 are linked, and both then to the member of least a: one pair a member. All others
-must share (a(x) + a(y)) / 2 elements of D, so they meet in the rarest elements of D (prefix
-filter). An element shared by many makes a new cluster with an h of its own, of at most half the size.
-
-A candidate pair goes on if the size bound and the collision-corrected estimate allow the threshold;
-then both full sets are compared exactly. Equal sets are one node from the start, whatever the
+What a group's hub has not joined is compared member by member, in blocks of bounded size, by bits
+that carry the parity of the elements in a slot. Two sets' bits differ in at most as many places as
+the sets do, so this bound loses no pair: with t the threshold, x and y are linked exactly if they
+differ in at most (1 - t) / (1 + t) (|x| + |y|) elements. Rows grow with the members of such groups;
+only the comparisons of bits, a few words each, grow with the square of one.
+
+A hub's pair goes on if the size bound and the collision-corrected estimate allow the threshold, a
+pair of members if the bits do; then both full sets are compared exactly. Equal sets are one node from the start, whatever the
 number of copies.
 """
 
@@ -24,10 +22,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import WordHashes, arrow_map, ascii_words, components, free_shuffles, grams, mix64, remove, signed, store
+from fareline.llm.common import WordHashes, arrow_map, ascii_words, components, free_shuffles, give_back, grams, mix64, remove, signed, store
 from fareline.session import small_side
 
 BANDS, ROWS = 42, 6
@@ -39,8 +37,8 @@ _ORDER = np.random.default_rng(20240229).permutation(BUCKETS)
 SMALL = 384
 _SEEDS = np.random.default_rng(20240301).integers(1, 1 << 63, BUCKETS, dtype=np.uint64)
 
-#: Members of a rare element's group that are paired directly; larger groups become clusters.
-PAIRED = 16
+#: Members of a group that one task compares with as many others at a time.
+BLOCK = 2048
 
 
 def shingle_set(text: str | None, words: int, hashes: WordHashes | None = None) -> np.ndarray:
@@ -129,6 +127,65 @@ def sketches(docs: DataFrame, words: int, threshold: float = 0.8) -> DataFrame:
     return arrow_map(src, run, "doc_id long, th long, node long, n long, small binary, regs binary", WordHashes)
 
 
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """Whether an odd number of the set's elements fall in a slot, for 4 to 8 slots an element."""
+    slots = max(256, 1 << max(4 * len(shingles) - 1, 0).bit_length())
+    odd = np.bincount((shingles & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Rows of parity bits with fewer slots: both halves taken together until `words` are left."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def within_reach(n: np.ndarray, comp: np.ndarray, bits: list[bytes], block: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of different components whose parity bits leave the threshold possible. With two
+    blocks, only pairs across them."""
+    plus, minus = 100 + round(100 * threshold), 100 - round(100 * threshold)
+    width = np.fromiter(map(len, bits), np.int64, len(bits)) // 8
+    first = block == block.min()
+    one = bool(first.all())
+    left, right = first, first if one else ~first
+    rows, cols = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def meet(left: np.ndarray, right: np.ndarray, w: int) -> None:
+        x, y = (folded_rows(at, w) for at in (left, right))
+        coarse = [folded(v, max(4, w // 4)) for v in (x, y)]
+        step = max(1, (1 << 19) // max(1, coarse[1].size))
+        for lo in range(0, len(left), step):
+            # Among one side's rows, those before have met these.
+            i, past = left[lo : lo + step], lo if one else 0
+            j = right[past:]
+            far = np.bitwise_count(coarse[0][lo : lo + step, None] ^ coarse[1][None, past:]).sum(axis=2, dtype=np.int64)
+            at, to = np.nonzero((comp[i][:, None] != comp[j][None]) & (plus * far <= minus * (n[i][:, None] + n[j][None])))
+            for k in range(0, len(at), 1 << 12):
+                p, q = at[k : k + (1 << 12)], to[k : k + (1 << 12)]
+                far = np.bitwise_count(x[lo + p] ^ y[past + q]).sum(axis=1, dtype=np.int64)
+                ok = plus * far <= minus * (n[i[p]] + n[j[q]])
+                rows.append(i[p[ok]])
+                cols.append(j[q[ok]])
+
+    def folded_rows(at: np.ndarray, w: int) -> np.ndarray:
+        out = np.empty((len(at), w), np.uint64)
+        for wide in np.unique(width[at]):
+            own = np.flatnonzero(width[at] == wide)
+            out[own] = folded(np.frombuffer(b"".join([bits[k] for k in at[own]]), np.uint64).reshape(len(own), wide), w)
+        return out
+
+    # Sets that may be linked have as many slots, or one of them twice as many.
+    for w in np.unique(width):
+        here, there = (np.flatnonzero(side & (width == w)) for side in (left, right))
+        wider, more = (np.flatnonzero(side & (width == 2 * w)) for side in (left, right))
+        for i, j in ((here, np.r_[there, more]), *(() if one else ((wider, there),))):
+            if len(i) and len(j):
+                meet(i, j, int(w))
+    return np.concatenate(rows), np.concatenate(cols)
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
     def run(batch):
         rows, keys = [], []
@@ -172,20 +229,22 @@ def _both(pairs: DataFrame, rows: DataFrame, columns: dict[str, str]) -> DataFra
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the wanted nodes, each read from one document (th, did)."""
+    """(node, bits, shingles) of the wanted nodes, each read from one document (th, did)."""
 
     def run(batch, hashes):
-        sets, texts = [], batch.column("text")
+        sets, bits, texts = [], [], batch.column("text")
         for i in range(batch.num_rows):
             if i % 256 == 0:
                 hashes.trim()
-            sets.append(signed(shingle_set(texts[i].as_py(), words, hashes)))
+            s = shingle_set(texts[i].as_py(), words, hashes)
+            sets.append(signed(s))
+            bits.append(parity_bits(s))
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-        return {"node": batch.column("node"), "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))}
+        return {"node": batch.column("node"), "bits": pa.array(bits, pa.binary()), "shingles": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))}
 
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
     src = docs.select(F.xxhash64("text").alias("th"), did.alias("did"), "text").join(small_side(wanted), ["th", "did"])
-    return arrow_map(src.select("node", "text"), run, "node long, shingles array<bigint>", WordHashes).dropDuplicates(["node"])
+    return arrow_map(src.select("node", "text"), run, "node long, bits binary, shingles array<bigint>", WordHashes).dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -198,51 +257,46 @@ def _fits(x, y, threshold: float):
     return 100 * F.least(x, y) >= round(100 * threshold) * F.greatest(x, y)
 
 
-def _by_differences(members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Of cluster members (cluster, node, n, comp, shingles): pairs (a, b) of different components that
-    may be linked, and the rows (cluster, size, e, node) of prefix elements that many share; last the
-    paths of stored steps."""
-    plus, minus = 100 + round(100 * threshold), 100 - round(100 * threshold)
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    often = members.select("cluster", F.explode("shingles").alias("e")).groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("f"))
-    common = often.where("f > 1").join(sizes, "cluster").where("2 * f > size").groupBy("cluster").agg(F.collect_list("e").alias("h"))
-    none = F.array().cast("array<bigint>")
-    h = F.coalesce("h", none)
-    differ = F.concat(F.array_except("shingles", h), F.array_except(h, "shingles"))
-    apart = members.join(sizes, "cluster").join(common, "cluster", "left").select("cluster", "size", "node", "n", "comp", differ.alias("d"))
-    apart, p1 = store(apart.withColumn("a", plus * F.size("d") - minus * F.col("n")), "op1-apart")
-    least = apart.groupBy("cluster").agg(F.min(F.struct("a", "node", "n", "comp")).alias("m"))
-    met = apart.join(least, "cluster").withColumn("sum", F.col("a") + F.col("m.a"))
-    near = met.where((F.col("sum") <= 0) & (F.col("comp") != F.col("m.comp"))).select(F.col("node").alias("a"), F.col("m.node").alias("b"))
-    shared = F.greatest(F.lit(1), F.ceil(F.col("sum") / (2 * plus)))
-    open_ = met.withColumn("length", F.size("d") - shared + 1).where("length > 0").select("cluster", "size", "node", "n", "comp", "a", "length", F.size("d").alias("all"), F.explode("d").alias("e"))
-    again = apart.select("cluster", F.explode("d").alias("e")).groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    own = Window.partitionBy("cluster", "node")
-    ranked = open_.join(again, ["cluster", "e"]).withColumn("rank", F.row_number().over(own.orderBy("f", "e"))).withColumn("many", F.count(F.lit(1)).over(own))
-    prefix, p2 = store(ranked.where("all - many + rank <= length").select("cluster", "size", "e", "node", "n", "comp", "a", (F.col("many") - F.col("rank") + 1).alias("left")), "op1-prefix")
-    groups = prefix.groupBy("cluster", "e").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-    few = prefix.join(groups.where(f"c <= {PAIRED}").select("cluster", "e"), ["cluster", "e"])
-    side = lambda x: few.select("cluster", "e", *(F.col(c).alias(f"{k}{x}") for c, k in (("node", ""), ("n", "n"), ("comp", "c"), ("a", "a"), ("left", "l"))))
-    # At its first common element a pair has all that it shares still before it, in both orders.
-    enough = 2 * plus * F.least("la", "lb") >= F.col("aa") + F.col("ab")
-    rare = side("a").join(side("b"), ["cluster", "e"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits(F.col("na"), F.col("nb"), threshold) & enough).select("a", "b")
-    hot = prefix.join(groups.where(f"c > {PAIRED}").select("cluster", "e"), ["cluster", "e"]).select("cluster", "size", "e", "node")
-    return near.union(rare), hot, [p1, p2]
-
-
-def _parted(hot: DataFrame) -> DataFrame:
-    """(cluster, node): clusters of the members that share frequent elements. Connected members stay
-    together if they are at most half of the old cluster; else each element makes a cluster, which
-    at most half of the old one can have. So clusters halve with every round."""
-    rows, p1 = store(hot.withColumn("u", F.xxhash64("cluster", "node")), "op1-hot")
-    first = rows.groupBy("cluster", "e").agg(F.min("u").alias("v"))
-    linked = components(rows.join(first, ["cluster", "e"]).select(F.col("u").alias("a"), F.col("v").alias("b")), "op1-parts")
-    whole = rows.join(linked.withColumnRenamed("node", "u"), "u")
-    sizes = whole.groupBy("comp").agg(F.count_distinct("u").alias("part"))
-    parts = whole.join(sizes, "comp").select(F.when(2 * F.col("part") <= F.col("size"), F.xxhash64("cluster", "comp")).otherwise(F.xxhash64("cluster", F.lit("e"), "e")).alias("cluster"), "node")
-    out, _ = store(parts.distinct(), "op1-clusters")
-    remove(hot.sparkSession, p1)
-    return out
+def _met_in_blocks(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of members (band, node, n, comp, c) of the same band but of different components
+    that parity bits leave possible. A band of more than BLOCK members is dealt into blocks, and a
+    block meets every block once."""
+    names = ("at", "block", "node", "n", "comp", "bits")
+
+    def run(batches):
+        held = []
+
+        def pairs(rows: pa.Table) -> pa.RecordBatch:
+            at, block, node, n, comp = (rows.column(c).to_numpy() for c in names[:5])
+            bits = rows.column("bits").to_pylist()
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            edge = np.r_[0, np.flatnonzero(at[1:] != at[:-1]) + 1, len(at)]
+            for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                i, j = within_reach(n[lo:hi], comp[lo:hi], bits[lo:hi], block[lo:hi], threshold)
+                a.append(node[lo + i])
+                b.append(node[lo + j])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], ["a", "b"])
+
+        for batch in batches:
+            # Rows come sorted; those of the last key may go on in the next batch.
+            keys = batch.column("at").to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1])) if len(keys) else 0
+            if cut or held and keys[0] != held[0].column("at")[-1].as_py():
+                yield pairs(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            if len(keys):
+                held.append(batch.slice(cut))
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+        del held
+        give_back()
+
+    blocks = F.ceil(F.col("c") / BLOCK).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = other.withColumn("at", F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")))
+    rows = keyed.select("at", "block", "node", "n", "comp").join(small_side(sets.select("node", "bits")), "node")
+    return rows.select(*names).repartition("at").sortWithinPartitions("at").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -267,56 +321,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     sets, p_sets = store(_sets(docs, wanted, words), "op1-sets")
     old = [p_groups, p_wanted, p_sets]
 
-    def links(pairs: DataFrame) -> DataFrame:
+    def links(pairs: DataFrame, sketched: bool) -> DataFrame:
         pairs, p1 = store(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "op1-pairs")
-        likely, p2 = store(_likely(pairs, nodes, threshold), "op1-likely")
-        found, p3 = store(_confirmed(likely, sets, threshold), "op1-links")
-        remove(spark, p1, p2)
-        old.append(p3)
+        if sketched:
+            pairs, p2 = store(_likely(pairs, nodes, threshold), "op1-likely")
+            old.append(p2)
+        found, p3 = store(_confirmed(pairs, sets, threshold), "op1-links")
+        old.extend((p1, p3))
         return found
 
-    def relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
-        """Nodes take the least label of those they are linked with: equal labels mean connected. The
-        converse is left to the end; until then it would only save comparisons."""
-        ends = found.union(found.select("b", "a")).join(labels.select(F.col("node").alias("b"), "comp"), "b")
-        low = ends.groupBy("a").agg(F.min("comp").alias("low"))
-        new, path = store(labels.join(small_side(low), F.col("node") == F.col("a"), "left").select("node", F.least("comp", "low").alias("comp")), "op1-labels")
-        old.append(path)
-        return new
-
-    def whole(found: DataFrame) -> DataFrame:
-        """Labels of the components of all links so far."""
-        linked = components(found).select("node", F.col("comp").alias("to"))
-        new, path = store(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("to", "node").alias("comp")), "op1-labels")
-        old.append(path)
-        return new
-
-    every = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    labels = whole(every)
+    by_hub = links(groups.where(_fits(F.col("n"), F.col("hub_n"), threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b")), True)
+    linked = components(by_hub).select("node", F.col("comp").alias("to"))
+    labels, p_labels = store(nodes.select("node").join(linked, "node", "left").select("node", F.coalesce("to", "node").alias("comp")), "op1-labels")
+    old.append(p_labels)
     free_shuffles(spark)
     # Groups of two are done; so are those that the hub has joined.
-    several = groups.where("c > 2").select("band", "hub", "node").join(labels, "node")
+    several = groups.where("c > 2").select("band", "node", "n", "c").join(labels, "node")
     undone = several.groupBy("band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-    clusters = components(several.join(undone, "band", "left_semi").select(F.col("node").alias("a"), F.col("hub").alias("b"))).select(F.col("comp").alias("cluster"), "node")
-    while True:
-        here = clusters.join(labels, "node")
-        mixed = here.groupBy("cluster").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        members = here.join(mixed, "cluster", "left_semi").join(nodes.select("node", "n"), "node")
-        members, p_members = store(sets.join(small_side(members), "node").select("cluster", "node", "n", "comp", "shingles"), "op1-cluster-sets")
-        if members.isEmpty():
-            old.append(p_members)
-            break
-        pairs, hot, paths = _by_differences(members, threshold)
-        found = links(pairs)
-        every = every.union(found)
-        if hot.isEmpty():
-            remove(spark, p_members, *paths)
-            break
-        labels = relabel(labels, found)
-        clusters = _parted(hot)
-        remove(spark, p_members, *paths)
-        free_shuffles(spark)
-    labels = whole(every)
+    found = links(_met_in_blocks(several.join(undone, "band", "left_semi"), sets, threshold), False)
+    # Links between members join components of hubs' links.
+    side = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+    across = side("b").join(small_side(side("a").join(small_side(found), "a")), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = components(across).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    labels = labels.join(small_side(joined), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
     comp_of = nodes.select("node", "first_id").join(labels, "node")
     lowest = comp_of.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     ids, _ = store(comp_of.join(lowest, "comp").select("node", "comp", "component_id"), "op1-ids")

@@ -125,6 +125,54 @@ def test_minhash_groups_below_the_threshold(spark):
     assert_components(spark, texts, 2)
 
 
+def test_minhash_bits_lose_no_pair_of_a_group():
+    """Sets of 3 to 700 elements, many of them near the threshold: whatever the blocks, all linked pairs are left."""
+    rng, sets = np.random.default_rng(8), []
+    for size in (3, 20, 60, 63, 66, 130, 500, 700):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for _ in range(40):
+            gone = int(rng.integers(0, size // 5 + 1))
+            sets.append(np.unique(np.r_[base[rng.permutation(size)[gone:]], rng.integers(0, 1 << 63, int(rng.integers(0, size // 5 + 1)), dtype=np.uint64)]))
+    n, comp, bits = np.array([len(s) for s in sets]), np.arange(len(sets)) // 2, [minhash.parity_bits(s) for s in sets]
+    shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    linked = (100 * shared >= 80 * (n[:, None] + n[None] - shared)) & (comp[:, None] != comp[None])
+    for blocks in (1, 2):
+        block = rng.integers(0, blocks, len(sets))
+        i, j = minhash.within_reach(n, comp, bits, block, 0.8)
+        got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+        want = {(a, b) for a, b in zip(*(x.tolist() for x in np.nonzero(linked))) if a < b and (blocks == 1 or block[a] != block[b])}
+        assert want <= got and len(got) < 1.2 * len(want)
+
+
+def test_minhash_blocks_of_a_group(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    test_minhash_groups_below_the_threshold(spark)
+
+
+def test_minhash_steps_do_not_grow_with_a_group(spark, monkeypatch):
+    """Copies that are just not near enough take no rounds of their own, however many there are."""
+    made, store = [], minhash.store
+
+    def counted(df, label):
+        made.append(label)
+        return store(df, label)
+
+    monkeypatch.setattr(minhash, "store", counted)
+    steps = []
+    for size in (2, 90):
+        rng, texts = random.Random(4), []
+        base = [f"w{rng.randrange(30000)}" for _ in range(200)]
+        for _ in range(size):
+            words = list(base)
+            for _ in range(13):
+                words[rng.randrange(200)] = f"w{rng.randrange(30000)}"
+            texts.append(" ".join(words))
+        made.clear()
+        minhash.near_duplicates(docs_of(spark, texts), 2, 0.8)
+        steps.append(list(made))
+    assert steps[0] == steps[1]
+
+
 def assert_components(spark, texts, words):
     sets = [frozenset(minhash.shingle_set(t, words).tolist()) for t in texts]
     root = list(range(len(texts)))
