@@ -1,12 +1,13 @@
 """Features, baseline and model queries."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareline.operators import common, features, forecast
 from fareline.plans import views
 from fareline.plans.ctes import sql
 from fareline.plans.registry import query, rounded
-from fareline.session import scratch
+from fareline.session import cut_lineage, scratch
 
 SPLIT = "2024-02-18"
 FEAT_SQL = """origin_zone, trip_date, slot_of_day, hour_of_day, day_of_week, is_weekend, is_peak, demand, supply,
@@ -85,12 +86,22 @@ def feature_corr(spark, sf):
 # --- trained model: one fit per session and input, kept as a saved model in the shared folder ---
 
 _saved: dict[tuple[str, str], str] = {}
+_kept: dict[tuple[str, str], DataFrame] = {}
+
+
+def kept_matrix(spark, sf):
+    """The feature matrix, written once per session and input: a fit and its scores read it many times,
+    and it has at most a row per zone, date and slot, whatever the number of trips."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _kept:
+        _kept[key] = cut_lineage(matrix(spark, sf), "features")
+    return _kept[key]
 
 
 def model_for(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _saved:
-        train, _ = features.split_at(matrix(spark, sf), SPLIT)
+        train, _ = features.split_at(kept_matrix(spark, sf), SPLIT)
         path = scratch(spark, "model")
         forecast.save_model(forecast.train_gbt(train), path)
         _saved[key] = path
@@ -98,7 +109,7 @@ def model_for(spark, sf):
 
 
 def test_rows(spark, sf):
-    return features.split_at(matrix(spark, sf), SPLIT)[1]
+    return features.split_at(kept_matrix(spark, sf), SPLIT)[1]
 
 
 @query("gbt_train")

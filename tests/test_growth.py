@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from fareline import session
 from fareline.functions import paths
-from fareline.operators import matching, spatial, synth
+from fareline.operators import features, matching, spatial, synth
+from fareline.plans import forecast_queries
 
 
 def plan(df):
@@ -26,6 +27,15 @@ def test_many_nodes_are_not_broadcast(spark):
     assert key(many.collect()) == key(few.collect()) == [(1, 200 * 400 + 200), (2, None), (3, None)]
 
 
+def test_model_rows_are_computed_once(spark, sf):
+    """Training, scores and baseline read one stored feature matrix instead of deriving it from the trips each time."""
+    rows = forecast_queries.test_rows(spark, sf)
+    assert "Window" not in plan(rows) and "Aggregate" not in plan(rows)
+    assert rows.inputFiles() and {*rows.inputFiles()} <= {*forecast_queries.test_rows(spark, sf).inputFiles()}
+    key = lambda df: sorted((r.origin_zone, r.trip_date, r.slot_of_day, r.demand, r.supply, r.demand_lag_1d, r.demand_lag_7d, r.rolling_7d_mean) for r in df.collect())
+    assert key(rows) == key(features.split_at(forecast_queries.matrix(spark, sf), forecast_queries.SPLIT)[1])
+
+
 def test_snap_levels_follow_the_density():
     assert [spatial.snap_levels(n, 0.065, 0.003) for n in (0, 10, 900_000, 5_400_000)] == [1, 1, 3, 4]
 
