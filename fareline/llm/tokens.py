@@ -9,9 +9,11 @@ so every document begins at a symbol.
 import json
 import re
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,14 +24,17 @@ from fareline.session import estimated_bytes, scratch
 END_ID = 0
 FILE_IDS = 1 << 20
 LEAST_COUNT = 16
+SHORT_RULE = 64
+CHUNK_BYTES = 8 << 20
 _SLOT_BITS = 18
 _MAGIC = b"RPID1\n"
-#: What makes a text need the slow cut: white space that is no lone space or newline, at any place.
-_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"
-_WIDE_SPACES = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-_ODD = re.compile("[\0" + _SPACES + _WIDE_SPACES + "]|[ \n][ \n]|\\A[ \n]|[ \n]\\Z")
+#: A text with white space that is no lone space or newline, at any place, needs the slow cut.
+_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f"
+_WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b" \n")], _KINDS[list(_SPACES.encode())], _KINDS[sorted({c.encode()[0] for c in _WIDE_SPACES})] = 1, 2, 3
+_WIDE_CODES = np.array([int.from_bytes(c.encode()) for c in _WIDE_SPACES])
 _PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_ODD_WORD = re.compile("[\n" + _SPACES + _WIDE_SPACES + "]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -45,7 +50,12 @@ class Encoder:
     A byte-level tokenizer never joins what a single space between two other characters, or a
     single newline, separates, nor a letter or digit and the ASCII punctuation that ends a word.
     So words are encoded once and texts put together from them. Special tokens' strings in a text
-    are ordinary text."""
+    are ordinary text.
+
+    A word's key is the word after the space or newline before it; the first word of a text has a
+    newline too, whose id makes room for the end id of the text before. When there are more than
+    MOST words (or 16 ids for each of MOST), those met in a single chunk of texts are forgotten, so
+    that common words stay."""
 
     MOST = 1 << 20
 
@@ -58,62 +68,101 @@ class Encoder:
         pre = json.loads(self.tok.to_str())
         step = pre.get("pre_tokenizer") or {}
         self.by_word = step.get("type") == "ByteLevel" and step.get("use_regex") and not step.get("add_prefix_space") and not pre.get("normalizer") and len(self.newline) == 1
-        self.clear()
+        if self.by_word:
+            vocab = self.tok.get_vocab()
+            self.after = {" ": np.zeros(max(vocab.values()) + 1, bool), "\n": np.zeros(max(vocab.values()) + 1, bool)}
+            self.after[" "][[i for t, i in vocab.items() if t[:1] == "\u0120"]] = True  # the space, as the library writes it
+            self.after["\n"][self.newline] = True
+            self.clear()
 
     def _plain(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
     def clear(self) -> None:
         self.new: list[str] = []
-        self.index = _Index(self.new)
-        self.at, self.n, self.ids, self.used = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(1 << 16, np.uint32), 0
-
-    def words(self, text: str) -> list[str]:
-        """Keys of a text's words: with a leading NUL as they are, else after a space."""
-        if _ODD.search(text):
-            if "\0" in text:
-                return ["\0" + text]
-            first, *rest = _CUT.split(text)
-            return ["\0" + first, *rest]
-        return ("\0" + text.replace("\n", " \0\n \0")).split(" ")
-
-    def _learn(self) -> None:
-        """Encode the words met for the first time, many in one text with newlines between."""
-        new = self.new
-        core = [c if len(c) < len(w) and c and c[-1].isalnum() else w for w, c in ((w, w.rstrip(_PUNCTUATION)) for w in new)]
-        index: dict[str, int] = {}
-        which = np.fromiter((index.setdefault(w, len(index)) for w in core), np.int64, len(core))
-        text = [w[1:] if w[:1] == "\0" else " " + w for w in index]
-        odd = [i for i, t in enumerate(text) if t in ("", " ") or _ODD_WORD.search(t)]
-        alone = dict.fromkeys(odd)
-        plain = [i for i in range(len(text)) if i not in alone] if odd else range(len(text))
-        parts, at, n, used = [], np.zeros(len(text), np.int64), np.zeros(len(text), np.int64), 0
-        for lo in range(0, len(plain), 4096):
-            part = plain[lo : lo + 4096]
-            ids = np.array(self.tok.encode_batch_fast(["\n".join([text[i] for i in part])], add_special_tokens=False)[0].ids, np.uint32)
-            edge = np.r_[-1, np.flatnonzero(ids == self.newline[0]), len(ids)]
-            at[np.asarray(part)], n[np.asarray(part)] = used + edge[:-1] + 1, np.diff(edge) - 1
-            parts.append(ids)
-            used += len(ids)
-        for i in odd:
-            ids = np.array(self._plain(text[i]), np.uint32)
-            at[i], n[i] = used, len(ids)
-            parts.append(ids)
-            used += len(ids)
-        ids = np.concatenate([*parts, np.zeros(0, np.uint32)])
+        self.index: dict[str, int] = {"\n": 0}
+        self.at, self.n, self.chunks = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int32)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 1
+        self.ids[0] = self.newline[0]
+
+    def _forget(self) -> None:
+        """Keep the words met in two chunks or more since the last time, half of MOST at the most."""
+        often = 2
+        self.chunks[0] = np.iinfo(np.int32).max
+        while (self.chunks >= often).sum() > max(self.MOST // 2, 1):
+            often *= 2
+        keep = self.chunks >= often
+        words = [w for w, k in zip(self.index, keep.tolist()) if k]
+        at = np.flatnonzero(keep)
+        ids = self._joined([(self.ids, self.at[at], self.n[at])])
+        self.index = dict(zip(words, range(len(words))))
+        self.n, self.chunks = self.n[at], np.ones(len(at), np.int32)
+        self.at, self.ids, self.used = np.cumsum(self.n) - self.n, np.r_[ids, np.zeros(1 << 16, np.uint32)], len(ids)
+        if self.used > 8 * self.MOST:
+            self.clear()
+
+    def _slow_words(self, text: str) -> list[str]:
+        first, *rest = _CUT.split(text)
+        return ["\n" + first, *[" " + w for w in rest]]
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of distinct words; new ones get the next numbers and wait to be learnt."""
+        out = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(out < 0)
+        out[new] = np.arange(len(self.index), len(self.index) + len(new))
+        fresh = [words[i] for i in new.tolist()]
+        self.index.update(zip(fresh, out[new].tolist()))
+        self.new += fresh
+        return out
+
+    def _learn(self, spaces: bool) -> None:
+        """Encode the words met for the first time, many in one text; `spaces`: some hold white space."""
+        base = len(self.n)
+        core = [c if len(c) < len(w) and c[-1:].isalnum() else w for w, c in ((w, w.rstrip(_PUNCTUATION)) for w in self.new)]
         tails = {"": 0}
-        tail = np.fromiter((tails.setdefault(w[len(c) :], len(tails)) for w, c in zip(new, core)), np.int64, len(new))
+        tail = np.fromiter((tails.setdefault(w[len(c) :], len(tails)) for w, c in zip(self.new, core)), np.int64, len(core))
+        apart = np.flatnonzero(tail)
+        core = [core[i] for i in apart.tolist()]
+        self._numbers(list(dict.fromkeys(core)))
+        of_core = np.fromiter(map(self.index.__getitem__, core), np.int64, len(core))
+        whole = np.ones(len(self.new), bool)
+        whole[apart] = False
+        at, n = np.zeros(len(self.new), np.int64), np.zeros(len(self.new), np.int64)
+        words, groups, odd = self.new, {" ": [], "\n": []}, []
+        for i in np.flatnonzero(whole).tolist():
+            w = words[i]
+            (odd if spaces and w[1:].split() != [w[1:]] else groups[w[0]]).append(i)
+        for lead, group in groups.items():
+            for lo in range(0, len(group), 4096):
+                part = group[lo : lo + 4096]
+                ids = np.array(self.tok.encode_batch_fast(["".join([words[i] for i in part])], add_special_tokens=False)[0].ids, np.uint32)
+                edge = np.r_[np.flatnonzero(self.after[lead][ids]), len(ids)]
+                if len(edge) != len(part) + 1 or edge[0]:
+                    odd += part
+                    continue
+                at[part], n[part] = self.used + edge[:-1], np.diff(edge)
+                self._append(ids)
+        for i in odd:
+            w = words[i]
+            ids = np.array(self._plain(w) if w[0] == " " else [*self.newline, *self._plain(w[1:])], np.uint32)
+            at[i], n[i] = self.used, len(ids)
+            self._append(ids)
+        self.at, self.n = np.r_[self.at, at], np.r_[self.n, n]
         own = [np.array(self._plain(t), np.uint32) for t in tails]
         tail_n = np.fromiter(map(len, own), np.int64, len(own))
-        flat = self._joined([(ids, at[which], n[which]), (np.concatenate(own), (np.cumsum(tail_n) - tail_n)[tail], tail_n[tail])])
-        count = n[which] + tail_n[tail]
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.at = np.concatenate([self.at, self.used + np.cumsum(count) - count])
-        self.n = np.concatenate([self.n, count.astype(np.int32)])
-        self.used += len(flat)
-        new.clear()
+        tail = tail[apart]
+        flat = self._joined([(self.ids, self.at[of_core], self.n[of_core]), (np.concatenate(own), (np.cumsum(tail_n) - tail_n)[tail], tail_n[tail])])
+        n = self.n[of_core] + tail_n[tail]
+        self.at[base + apart], self.n[base + apart] = self.used + np.cumsum(n) - n, n
+        self._append(flat)
+        self.chunks = np.r_[self.chunks, np.zeros(len(self.new), np.int32)]
+        self.new = []
+
+    def _append(self, ids: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     @staticmethod
     def _joined(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -127,51 +176,81 @@ class Encoder:
             to = to + n
         return out
 
+    @staticmethod
+    def _cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """All words with the space or newline before them, the place of each text's first word, and
+        which texts need the slow cut."""
+        data = b"\n".join([b"", *texts, b""])
+        raw = np.frombuffer(data, np.uint8)
+        begin = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        kind = _KINDS[raw]
+        gap = np.flatnonzero(kind == 1)
+        first = np.searchsorted(gap, begin)
+        edge = np.zeros(len(gap), bool)
+        edge[first] = True
+        close = np.flatnonzero(np.diff(gap) == 1)
+        close = close[~(edge[close] & edge[close + 1])]
+        wide = np.flatnonzero(kind == 3)
+        code = raw[wide].astype(np.int64) << 8 | raw[wide + 1]
+        found = np.isin(code, _WIDE_CODES) | np.isin(code << 8 | raw[np.minimum(wide + 2, len(raw) - 1)], _WIDE_CODES)
+        spots = np.concatenate([np.where(edge[close + 1], gap[close], gap[close + 1]), wide[found], np.flatnonzero(kind == 2)])
+        slow = np.zeros(len(texts), bool)
+        slow[np.searchsorted(begin, spots, "right") - 1] = True
+        words = pa.Array.from_buffers(pa.large_string(), len(gap) - 1, [None, pa.py_buffer(gap.astype(np.int64)), pa.py_buffer(data)])
+        return words, first, slow
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, END_ID after each text, and each text's number of ids."""
         if not self.by_word:
             each = [np.array([*x.ids, END_ID], np.uint32) for x in self.tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
             return np.concatenate([*each, np.zeros(0, np.uint32)]), np.array([len(x) for x in each], np.int64)
-        if len(self.index) > self.MOST:
-            self.clear()
-        look, at, counts = self.index.__getitem__, [], []
-        for t in texts:
-            w = self.words(t) if t else []
-            at.append(np.fromiter(map(look, w), np.int64, len(w)))
-            counts.append(len(w))
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.index) > self.MOST or self.used > 16 * self.MOST:
+            self._forget()
+        words, first, slow = self._cut([(t or "").encode() for t in texts])
+        words = words.dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        places = words.indices.to_numpy()
+        if slow.any():
+            cut = [self._slow_words(texts[i]) for i in np.flatnonzero(slow).tolist()]
+            used = np.unique(places[~np.repeat(slow, np.diff(first))])
+            number = np.zeros(len(distinct), np.int64)
+            number[used] = self._numbers([distinct[i] for i in used.tolist()])
+            self._numbers(list(dict.fromkeys(chain.from_iterable(cut))))
+            parts = np.split(number[places], first[1:-1])
+            for i, w in zip(np.flatnonzero(slow).tolist(), cut):
+                parts[i] = np.fromiter(map(self.index.__getitem__, w), np.int64, len(w))
+            at, first = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+            met = np.unique(at)
+        else:
+            met = self._numbers(distinct)
+            at = met[places]
         if self.new:
-            self._learn()
-        at = np.concatenate([*at, np.zeros(0, np.int64)])
-        n = self.n[at].astype(np.int64) if len(at) else np.zeros(0, np.int64)
+            self._learn(bool(slow.any()))
+        self.chunks[met] += 1
+        n = self.n[at]
         sums = np.r_[0, np.cumsum(n)]
-        ends = np.cumsum(counts, dtype=np.int64)
-        per = sums[ends] - np.r_[0, sums[ends]][:-1] if counts else np.zeros(0, np.int64)
-        flat = self.ids[np.repeat(self.at[at] - sums[:-1], n) + np.arange(sums[-1])] if len(at) else np.zeros(0, np.uint32)
-        return np.insert(flat, np.cumsum(per), END_ID), per + 1
-
-
-class _Index(dict):
-    def __init__(self, new: list[str]):
-        self.new = new
-
-    def __missing__(self, word: str) -> int:
-        i = self[word] = len(self)
-        self.new.append(word)
-        return i
+        flat = self.ids[np.repeat(self.at[at] - sums[:-1], n) + np.arange(sums[-1])]
+        edge = sums[first]
+        flat[edge[:-1]] = END_ID
+        return np.r_[flat[1:], np.uint32(END_ID)], np.diff(edge)
 
 
 def repair(seq: np.ndarray, first_free: int, most_rules: int, rounds: int | None = None, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (left, right). Rule k stands for symbol first_free + k. In a round all pairs
     that occur `least` times or more, most frequent first, are replaced from left to right; rounds
     go on until there is none (or `rounds` are over), or until the symbols are used up."""
-    seq, rules = seq.astype(np.uint32), [np.zeros((0, 2), np.uint32)]
+    half, kind, mix = (16, np.uint32, 0x9E3779B1) if first_free + most_rules <= 1 << 16 else (32, np.uint64, 0x9E3779B97F4A7C15)
+    half, mix, drop = kind(half), kind(mix), kind(2 * half - _SLOT_BITS)
+    seq, rules = seq.astype(kind), [np.zeros((0, 2), np.uint32)]
     made = 0
     for _ in range(len(seq) if rounds is None else rounds):
         room = most_rules - made
         if len(seq) < 2 or room <= 0:
             break
-        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        slot = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        key = seq[:-1] << half | seq[1:]
+        slot = (key * mix >> drop).astype(np.int32)
         # Only pairs of slots with enough occurrences can be frequent: few keys are sorted.
         full = np.bincount(slot, minlength=1 << _SLOT_BITS) >= least
         able = np.flatnonzero(full[slot] & (seq[:-1] != END_ID) & (seq[1:] != END_ID))
@@ -181,7 +260,7 @@ def repair(seq: np.ndarray, first_free: int, most_rules: int, rounds: int | None
         often = counts >= least
         pairs, counts = order[starts[often]], counts[often]
         pairs = pairs[np.lexsort((pairs, -counts))]
-        of_pair = (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        of_pair = (pairs * mix >> drop).astype(np.int32)
         _, lead = np.unique(of_pair, return_index=True)
         lead = np.sort(lead)[:room]
         pairs, of_pair = pairs[lead], of_pair[lead]
@@ -203,9 +282,9 @@ def repair(seq: np.ndarray, first_free: int, most_rules: int, rounds: int | None
         stay[at + 1] = False
         seq = seq[stay]
         pairs = pairs[used]
-        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        rules.append(np.stack([pairs >> half, pairs & ((kind(1) << half) - kind(1))], 1).astype(np.uint32))
         made += len(pairs)
-    return seq, np.concatenate(rules)
+    return seq.astype(np.uint32), np.concatenate(rules)
 
 
 def expansion_lengths(rules: np.ndarray, first_free: int) -> np.ndarray:
@@ -237,6 +316,26 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_free: int) -> np.ndarra
         symbols = out
 
 
+def expand_many(symbols: np.ndarray, rules: np.ndarray, wide: np.ndarray, first_free: int) -> np.ndarray:
+    """As `expand`, for many symbols: rules of up to SHORT_RULE ids are expanded once and copied."""
+    n = np.r_[np.ones(first_free, np.int64), wide]
+    is_long = n > SHORT_RULE
+    short = np.flatnonzero(~is_long)
+    flat = expand(short, rules, first_free)
+    start = np.zeros(len(n), np.int64)
+    start[short] = np.cumsum(n[short]) - n[short]
+    while True:
+        at = np.flatnonzero(is_long[symbols])
+        if not len(at):
+            break
+        pair = rules[symbols[at].astype(np.int64) - first_free]
+        symbols = np.insert(symbols.astype(np.uint32), at + 1, pair[:, 1])
+        symbols[at + np.arange(len(at))] = pair[:, 0]
+    n = n[symbols]
+    before = np.cumsum(n) - n
+    return flat[np.repeat(start[symbols] - before, n) + np.arange(n.sum())]
+
+
 def pack(ids: np.ndarray, lengths: np.ndarray, doc_ids: list[int | None], vocab: int) -> bytes:
     most = (1 << 16) - vocab if vocab < 1 << 16 else 1 << 20
     symbols, rules = repair(ids, vocab, most)
@@ -276,7 +375,7 @@ class TokenFile:
         return expand(self.symbols[self.symbol_starts[i] : self.symbol_starts[i + 1]], self.rules, self.head["vocab"])
 
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.head["vocab"])
+        return expand_many(self.symbols, self.rules, self.wide, self.head["vocab"])
 
 
 def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_ids: int = FILE_IDS) -> DataFrame:
@@ -298,30 +397,31 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str | None = None, file_i
         shard, seq, done = TaskContext.get().partitionId(), 0, []
         enc = Encoder(path)
         vocab = enc.tok.get_vocab_size(with_added_tokens=True)
-        held, ids, lengths = [], [], []
-
-        def flush():
-            nonlocal seq
-            if held:
-                flat = np.concatenate(ids)
-                out = Committed(uri, f"ids-{shard:06d}-{seq:05d}.bin")
-                out.write(pack(flat, np.concatenate(lengths), held, vocab))
-                out.commit()
-                done.append((out.name, shard, seq, len(held), len(flat)))
-                seq += 1
-                for x in (held, ids, lengths):
-                    x.clear()
+        held, ids, lengths = [], np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+        def flush(docs):
+            nonlocal seq, held, ids, lengths
+            n = int(lengths[:docs].sum())
+            out = Committed(uri, f"ids-{shard:06d}-{seq:05d}.bin")
+            out.write(pack(ids[:n], lengths[:docs], held[:docs], vocab))
+            out.commit()
+            done.append((out.name, shard, seq, docs, n))
+            seq += 1
+            held, ids, lengths = held[docs:], ids[n:], lengths[docs:]
 
         for batch in batches:
             own, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for lo in range(0, len(own), 512):
-                flat, n = enc.encode(texts.slice(lo, 512).to_pylist())
-                held += own[lo : lo + 512]
-                ids.append(flat)
-                lengths.append(n)
-                if sum(map(len, ids)) >= file_ids:
-                    flush()
-        flush()
+            # Texts that end in the same CHUNK_BYTES go together: a chunk looks up a common word once.
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            edges = np.r_[0, np.flatnonzero(np.diff(size // CHUNK_BYTES)) + 1, len(own)]
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                flat, n = enc.encode(texts.slice(lo, hi - lo).to_pylist())
+                held += own[lo:hi]
+                ids, lengths = np.r_[ids, flat], np.r_[lengths, n]
+                while len(ids) >= file_ids:
+                    flush(int(np.searchsorted(np.cumsum(lengths), file_ids)) + 1)
+        if held:
+            flush(len(held))
         del enc
         give_back()
         if done:

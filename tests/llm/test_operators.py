@@ -385,6 +385,58 @@ def test_encoder_equals_the_library(spark):
         assert n.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
 
 
+class _Counted:
+    """A tokenizer that counts the characters of whole batches."""
+
+    def __init__(self, tok):
+        self.tok, self.chars = tok, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.tok.encode_batch_fast(texts, **options)
+
+    def __getattr__(self, name):
+        return getattr(self.tok, name)
+
+
+def test_encoder_asks_the_library_once_for_a_word():
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    plain = enc.tok
+    enc.tok = _Counted(plain)
+    enc.encode(["x. alpha, beta gamma"])
+    before = enc.tok.chars
+    enc.encode(["x alpha beta! gamma... alpha?\nx"])
+    assert enc.tok.chars == before
+    enc.MOST = 40
+    for k in range(20):  # rare words come and go, common ones stay
+        text = " ".join(["x alpha beta gamma", *(f"w{k}q{j}" for j in range(30))])
+        ids, n = enc.encode([text])
+        assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 0] and n.tolist() == [len(ids)]
+        assert len(enc.index) <= 40 + 35
+    before = enc.tok.chars
+    enc.encode(["x alpha beta gamma"])
+    assert enc.tok.chars == before
+
+
+def test_token_files_end_with_the_text_that_fills_them(spark):
+    docs = spark.range(0, 1000, 1, 1).selectExpr("id AS doc_id", "concat('a b c ', id) AS text")
+    uri = tokens.scratch(spark, "op6-small-files")
+    manifest = tokens.write_tokens(docs, uri, file_ids=200)
+    files = manifest.orderBy("start").collect()
+    assert max(f["ids"] for f in files) < 200 + 20 and len(files) > 1000 * 5 // 220
+    assert sum(f["docs"] for f in files) == 1000 and all(b["start"] == a["start"] + a["ids"] for a, b in zip(files, files[1:]))
+    assert [r["doc_id"] for r in tokens.read_tokens(manifest, uri).orderBy("start").collect()] == list(range(1000))
+
+
+def test_expansion_of_long_rules():
+    seq = np.r_[np.full(1 << 14, 7), np.tile(np.random.default_rng(2).integers(1, 90, 700), 40)].astype(np.uint32)
+    small, rules = tokens.repair(seq, 100, 5000)
+    wide = tokens.expansion_lengths(rules, 100)
+    assert wide.max() > tokens.SHORT_RULE and np.array_equal(tokens.expand_many(small, rules, wide, 100), seq)
+    small, rules = tokens.repair(seq, 100, 1 << 20)  # symbols of more than 16 bits
+    assert np.array_equal(tokens.expand(small, rules, 100), seq)
+
+
 def test_token_files_of_awkward_rows(spark):
     rows = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokens.round_trip(awkward(spark)).collect()), key=lambda r: r[2])
     assert len(rows) == 8 and [r[:2] for r in rows] == sorted(r[:2] for r in rows)
