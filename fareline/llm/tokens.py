@@ -25,7 +25,7 @@ END_ID = 0
 FILE_IDS = 1 << 20
 LEAST_COUNT = 16
 SHORT_RULE = 64
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 _SLOT_BITS = 18
 _MAGIC = b"RPID1\n"
 #: A text with white space that is no lone space or newline, at any place, needs the slow cut.
@@ -57,7 +57,7 @@ class Encoder:
     MOST words (or 16 ids for each of MOST), those met in a single chunk of texts are forgotten, so
     that common words stay."""
 
-    MOST = 1 << 20
+    MOST = 1 << 19
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -95,7 +95,8 @@ class Encoder:
         words = [w for w, k in zip(self.index, keep.tolist()) if k]
         at = np.flatnonzero(keep)
         ids = self._joined([(self.ids, self.at[at], self.n[at])])
-        self.index = dict(zip(words, range(len(words))))
+        self.index.clear()
+        self.index.update(zip(words, range(len(words))))
         self.n, self.chunks = self.n[at], np.ones(len(at), np.int32)
         self.at, self.ids, self.used = np.cumsum(self.n) - self.n, np.r_[ids, np.zeros(1 << 16, np.uint32)], len(ids)
         if self.used > 8 * self.MOST:
@@ -231,8 +232,10 @@ class Encoder:
         self.chunks[met] += 1
         n = self.n[at]
         sums = np.r_[0, np.cumsum(n)]
-        flat = self.ids[np.repeat(self.at[at] - sums[:-1], n) + np.arange(sums[-1])]
-        edge = sums[first]
+        small = np.int32 if sums[-1] < 1 << 31 else np.int64
+        spots = np.repeat((self.at[at] - sums[:-1]).astype(small), n)
+        spots += np.arange(sums[-1], dtype=small)
+        flat, edge = self.ids[spots], sums[first]
         flat[edge[:-1]] = END_ID
         return np.r_[flat[1:], np.uint32(END_ID)], np.diff(edge)
 
